@@ -20,7 +20,7 @@ def r_squared(truth: Column, prediction: Column) -> Column:
     sse = F.sum((truth - prediction) * (truth - prediction))
     sst = F.var_pop(truth) * F.count(truth)
     flat = F.when(sse == 0, 1.0).otherwise(0.0)
-    score = F.when(sst == 0, flat).otherwise(F.lit(1.0) - F.try_divide(sse, sst))
+    score = F.when(F.min(truth) == F.max(truth), flat).otherwise(F.lit(1.0) - F.try_divide(sse, sst))
     return F.when(F.count(truth) >= 2, score)
 
 

@@ -121,7 +121,7 @@ def random_forest(params: dict[str, Any]) -> Estimator:
 
 def boosted_trees(params: dict[str, Any]) -> Estimator:
     """Gradient-boosted trees; ``validation_column`` turns on early stopping."""
-    model = GBTRegressor(
+    return GBTRegressor(
         featuresCol="features",
         labelCol=RUL,
         maxIter=params["n_estimators"],
@@ -130,10 +130,9 @@ def boosted_trees(params: dict[str, Any]) -> Estimator:
         subsamplingRate=params["subsample"],
         featureSubsetStrategy=str(params["colsample"]),
         seed=params["seed"],
+        validationIndicatorCol=params.get("validation_column"),
+        validationTol=params.get("tolerance", 0.01),
     )
-    if params.get("validation_column"):
-        model = model.setValidationIndicatorCol(params["validation_column"]).setValidationTol(params.get("tolerance", 0.01))
-    return model
 
 
 def linear(params: dict[str, Any]) -> Estimator:
