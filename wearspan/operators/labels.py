@@ -48,14 +48,14 @@ def add_test_rul(
     ``final_rul`` has one row ``(engine, final_rul)`` per engine. Engines without
     one raise ``ValueError`` (turn ``check`` off if the caller has checked).
     """
-    profile = profile or profile_key(df, engine)
+    profile = profile or profile_key(df, engine, rows_per_task)
     if check:
         missing = [r[0] for r in missing_final_rul(df, final_rul, engine).limit(100).collect()]
         if missing:
             raise ValueError(f"Missing official test RUL for engine ids: {missing}")
     panel = split_panel(df, 0, profile, rows_per_task, engine, cycle)
     observed = panel.select(*panel.columns, (panel.last_cycle - F.col(cycle)).alias("_ahead"))
-    known = attach(observed, final_rul.select(engine, "final_rul"), engine, profile.keys, "left", profile, rows_per_task)
+    known = attach(observed, final_rul.select(engine, "final_rul"), engine, "left", profile, rows_per_task)
     label = cap_rul(F.col("_ahead") + F.col("final_rul").cast("int"), cap)
     return known.select(*panel.columns, label.alias(RUL))
 
@@ -66,9 +66,8 @@ def join_last_cycle(df: DataFrame, profile: KeyProfile | None = None, engine: st
     Cheaper than a window for a panel read straight from storage: the maximum is
     combined map-side, and while it is small enough to broadcast no row moves.
     """
-    profile = profile or profile_key(df, engine)
     top = df.groupBy(engine).agg(F.max(cycle).alias("max_cycle"))
-    return attach(df, top, engine, profile.keys, "inner", profile)
+    return attach(df, top, engine, "inner", profile)
 
 
 def label_breaks(df: DataFrame, profile: KeyProfile | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

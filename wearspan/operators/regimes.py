@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearspan.schema import N_REGIMES, REGIME, SEED, SETTINGS
 
+FEW_POINTS = 10_000
+PARALLEL_FITS = 5
+
 
 @dataclass(frozen=True)
 class RegimeModel:
@@ -44,13 +49,16 @@ def fit_regimes(
     """
     points = train.groupBy(*settings).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
     vectors = VectorAssembler(inputCols=list(settings), outputCol="_settings").transform(points).persist()
+
+    def fit(start: int) -> KMeansModel:
+        columns = {"featuresCol": "_settings", "predictionCol": "_cluster", "weightCol": "_weight"}
+        return KMeans(k=n_regimes, seed=seed + start, **columns).fit(data)
+
     try:
-        fits = [
-            KMeans(
-                k=n_regimes, seed=seed + i, featuresCol="_settings", predictionCol="_cluster", weightCol="_weight"
-            ).fit(vectors)
-            for i in range(n_init)
-        ]
+        # Few distinct points are cheaper to iterate over in one partition.
+        data = vectors.coalesce(1) if vectors.count() <= FEW_POINTS else vectors
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            fits = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), range(n_init)))
     finally:
         vectors.unpersist()
     best = min(fits, key=lambda m: m.summary.trainingCost)

@@ -29,22 +29,24 @@ UNBOUNDED = Window.unboundedPreceding
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Row count, key count and size of the largest key group."""
+    """Row count of a frame and an upper bound on its largest key group."""
 
     rows: int
-    keys: int
     largest: int
 
 
-def profile_key(df: DataFrame, key: str = ENGINE) -> KeyProfile:
-    """Measure a key column: map-side counts first, one summary row to the driver."""
-    row = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("n").alias("keys"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
-        .first()
-    )
-    return KeyProfile(row["rows"], row["keys"], row["largest"])
+def profile_key(df: DataFrame, key: str = ENGINE, rows_per_task: int = ROWS_PER_TASK) -> KeyProfile:
+    """Find out whether a key may be too large for one task.
+
+    A frame that fits one task as a whole has no heavy key; for files that count
+    comes from their footers. Otherwise the keys are counted: map-side first, then
+    one summary row to the driver.
+    """
+    rows = df.count()
+    if rows <= rows_per_task:
+        return KeyProfile(rows, rows)
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return KeyProfile(rows, sizes.agg(F.max("n")).first()[0])
 
 
 def heavy_threshold(profile: KeyProfile, rows_per_task: int = ROWS_PER_TASK) -> int:
@@ -98,7 +100,7 @@ def rank_within(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Rank rows within a key: plain window for ordinary keys, bucketed for heavy ones."""
-    profile = profile or profile_key(df, key)
+    profile = profile or profile_key(df, key, rows_per_task)
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     heavy = heavy_keys(df, key, profile, rows_per_task)
     if heavy is None:
@@ -163,7 +165,7 @@ def split_panel(
 ) -> Panel:
     """Prepare a panel for frames that look back ``lookback`` rows."""
     columns = tuple(df.columns)
-    profile = profile or profile_key(df, engine)
+    profile = profile or profile_key(df, engine, rows_per_task)
     heavy = heavy_keys(df, engine, profile, rows_per_task, F.max(cycle).alias("_last"))
     if heavy is None:
         return Panel(df, (engine,), engine, cycle, False, columns)
@@ -192,19 +194,18 @@ def attach(
     df: DataFrame,
     lookup: DataFrame,
     key: str,
-    lookup_rows: int,
     how: str = "left",
     profile: KeyProfile | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join rows to a table with one row per key.
 
-    A lookup of checked size is broadcast. A larger one is joined by shuffle,
-    except for the heavy keys, whose few lookup rows are broadcast instead.
+    The lookup is counted and, if small, broadcast. A larger one is joined by
+    shuffle, except for the heavy keys, whose few lookup rows are broadcast.
     """
-    if lookup_rows <= BROADCAST_KEYS:
+    if lookup.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         return df.join(F.broadcast(lookup), key, how)
-    heavy = heavy_keys(df, key, profile or profile_key(df, key), rows_per_task)
+    heavy = heavy_keys(df, key, profile or profile_key(df, key, rows_per_task), rows_per_task)
     if heavy is None:
         return df.join(lookup, key, how)
     heavy = F.broadcast(heavy.select(key))

@@ -121,6 +121,9 @@ def random_forest(params: dict[str, Any]) -> Estimator:
 
 def boosted_trees(params: dict[str, Any]) -> Estimator:
     """Gradient-boosted trees; ``validation_column`` turns on early stopping."""
+    early = {}
+    if params.get("validation_column"):
+        early = {"validationIndicatorCol": params["validation_column"], "validationTol": params.get("tolerance", 0.01)}
     return GBTRegressor(
         featuresCol="features",
         labelCol=RUL,
@@ -130,8 +133,7 @@ def boosted_trees(params: dict[str, Any]) -> Estimator:
         subsamplingRate=params["subsample"],
         featureSubsetStrategy=str(params["colsample"]),
         seed=params["seed"],
-        validationIndicatorCol=params.get("validation_column"),
-        validationTol=params.get("tolerance", 0.01),
+        **early,
     )
 
 

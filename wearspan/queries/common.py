@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearspan.operators.labels import add_test_rul, add_train_rul
-from wearspan.operators.skew import KeyProfile, split_panel
+from wearspan.operators.skew import KeyProfile, attach, split_panel
 from wearspan.schema import CYCLE, ENGINE
 from wearspan.sources.tables import is_test, supplier_final_rul, telemetry
 
@@ -46,7 +46,7 @@ def split_panels(spark: SparkSession, folder: str) -> SplitPanels:
     panel = split_panel(source.rows, 0, source.profile)
     whole = panel.select(*panel.columns, panel.last_cycle.alias("_end"))
     train = whole.where(~is_test()).drop("_end")
-    cut = whole.where(is_test()).join(F.broadcast(final) if source.profile.keys <= 100_000 else final, ENGINE)
+    cut = attach(whole.where(is_test()), final, ENGINE, "inner", source.profile)
     test = cut.where(F.col(CYCLE) <= F.col("_end") - F.col("final_rul")).drop("_end", "final_rul")
     return SplitPanels(
         add_train_rul(train, profile=source.profile),
