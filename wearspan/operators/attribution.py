@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearspan.operators.metrics import mse
-from wearspan.operators.skew import with_position
-from wearspan.operators.splits import FINE, FINE_STEP, row_hash, second_hash
+from wearspan.operators.skew import ROWS_PER_TASK
+from wearspan.operators.splits import FINE, scrambled_hash
 from wearspan.schema import CYCLE, ENGINE, RUL
 
 
@@ -47,14 +47,20 @@ class LinearFit:
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], target: str = RUL) -> LinearFit:
-    """Least squares over one distributed pass, plus the feature means."""
-    row = train.agg(*[F.avg(c).alias(c) for c in features]).first()
+    """Least squares and feature means; the assembled columns are computed once and shared."""
     assembled = VectorAssembler(inputCols=list(features), outputCol="_x").transform(train)
-    model = LinearRegression(featuresCol="_x", labelCol=target, solver="normal", regParam=0.0).fit(
-        assembled.select("_x", F.col(target).cast("double").alias(target))
-    )
+    return _least_squares(assembled.select("_x", F.col(target).cast("double").alias("_y")), features, 0.0)
+
+
+def _least_squares(vectors: DataFrame, names: Sequence[str], ridge: float) -> LinearFit:
+    shared = vectors.persist()
+    try:
+        means = shared.select(Summarizer.mean(F.col("_x")).alias("m")).first()["m"]
+        model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=ridge).fit(shared)
+    finally:
+        shared.unpersist()
     return LinearFit(
-        tuple(features), tuple(float(c) for c in model.coefficients), float(model.intercept), tuple(row[c] for c in features)
+        tuple(names), tuple(float(c) for c in model.coefficients), float(model.intercept), tuple(float(m) for m in means)
     )
 
 
@@ -73,14 +79,10 @@ def linear_attribution(df: DataFrame, fit: LinearFit, keys: Sequence[str]) -> Da
 
 def fit_window_linear(windows: DataFrame, size: int, features: Sequence[str], target: str = "target") -> LinearFit:
     """Ridge-stabilised linear model on flattened windows; cell t·F+f is named ``t:feature``."""
-    names = tuple(f"{t}:{f}" for t in range(size) for f in features)
+    names = [f"{t}:{f}" for t in range(size) for f in features]
     cells = F.flatten(F.col("window")).cast("array<double>")
     vectors = windows.select(array_to_vector(cells).alias("_x"), F.col(target).cast("double").alias("_y"))
-    model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=1e-6).fit(vectors)
-    means = vectors.select(Summarizer.mean(F.col("_x")).alias("m")).first()["m"]
-    return LinearFit(
-        names, tuple(float(c) for c in model.coefficients), float(model.intercept), tuple(float(m) for m in means)
-    )
+    return _least_squares(vectors, names, 1e-6)
 
 
 def score_windows(windows: DataFrame, fit: LinearFit) -> DataFrame:
@@ -176,22 +178,27 @@ def explanation_json(records: DataFrame, keys: Sequence[str]) -> DataFrame:
     return records.select(*keys, F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def shuffled_values(df: DataFrame, features: Sequence[str], engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:
+def shuffled_values(
+    df: DataFrame,
+    features: Sequence[str],
+    engine: str = ENGINE,
+    cycle: str = CYCLE,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Give every row the feature values of another row, under ``<name>_shuffled``.
 
-    Rows are ranked by two different hashes (each rank built cell by cell, never in
-    one task) and the two ranks are joined, which is a permutation of the rows.
+    Rows are dealt to cells by a scrambled hash, as many cells as the row count
+    needs, and take the values of the next row of their cell in hash order (the
+    last one those of the first). That is a permutation and costs one shuffle.
     """
-    key = [F.col(engine), F.col(cycle)]
-
-    def placed(rows: DataFrame, h: Column) -> DataFrame:
-        hashed = rows.withColumn("_hash", h)
-        cell = F.floor(F.col("_hash") / F.lit(FINE_STEP))
-        return with_position(hashed, [], [F.col("_hash"), *key], [cell], "_place").drop("_hash")
-
-    taker = placed(df, row_hash(FINE, engine, cycle))
-    giver = placed(df.select(*key, *features), second_hash(engine, cycle))
-    return taker.join(giver.select("_place", *[F.col(c).alias(f"{c}_shuffled") for c in features]), "_place").drop("_place")
+    cells = max(1, -(-df.count() // rows_per_task))
+    hashed = df.withColumn("_hash", scrambled_hash(engine, cycle))
+    cell = F.floor(F.col("_hash") * cells / F.lit(FINE))
+    ring = Window.partitionBy(cell).orderBy("_hash", engine, cycle)
+    values = F.struct(*features)
+    following = F.coalesce(F.lead(values).over(ring), F.first(values).over(ring))
+    taken = hashed.withColumn("_other", following)
+    return taken.select(*df.columns, *[F.col("_other")[c].alias(f"{c}_shuffled") for c in features])
 
 
 def permutation_importance(

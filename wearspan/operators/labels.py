@@ -10,9 +10,18 @@ from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, attach, pr
 from wearspan.schema import CYCLE, ENGINE, RUL, RUL_CAP
 
 
-def train_rul(panel: Panel, cap: int | None = RUL_CAP):
-    """Label column of a run-to-failure panel: cycles left until the engine's last one."""
-    return cap_rul(panel.last_cycle - F.col(panel.cycle), cap)
+def label_train(panel: Panel, cap: int | None = RUL_CAP) -> Panel:
+    """Label a run-to-failure panel: cycles left until the engine's last one, capped."""
+    return panel.select(*panel.columns, cap_rul(panel.last_cycle - F.col(panel.cycle), cap).alias(RUL))
+
+
+def label_test(panel: Panel, final_rul: DataFrame, cap: int | None = RUL_CAP, profile: KeyProfile | None = None) -> Panel:
+    """Label a censored panel: cycles to its last row plus the official life left there."""
+    ahead = panel.select(*panel.columns, (panel.last_cycle - F.col(panel.cycle)).alias("_ahead"))
+    label = cap_rul(F.col("_ahead") + F.col("final_rul").cast("int"), cap)
+    official = final_rul.select(panel.engine, "final_rul")
+    known = ahead.map(lambda rows: attach(rows, official, panel.engine, "left", profile))
+    return known.select(*panel.columns, label.alias(RUL))
 
 
 def add_train_rul(
@@ -24,8 +33,7 @@ def add_train_rul(
     cycle: str = CYCLE,
 ) -> DataFrame:
     """Label run-to-failure histories; one shuffle, shared with later windows on the engine."""
-    panel = split_panel(df, 0, profile, rows_per_task, engine, cycle)
-    return panel.select(*panel.columns, train_rul(panel, cap).alias(RUL))
+    return label_train(split_panel(df, 0, profile, rows_per_task, engine, cycle), cap).frame()
 
 
 def missing_final_rul(df: DataFrame, final_rul: DataFrame, engine: str = ENGINE) -> DataFrame:
@@ -48,16 +56,17 @@ def add_test_rul(
     ``final_rul`` has one row ``(engine, final_rul)`` per engine. Engines without
     one raise ``ValueError`` (turn ``check`` off if the caller has checked).
     """
-    profile = profile or profile_key(df, engine, rows_per_task)
     if check:
-        missing = [r[0] for r in missing_final_rul(df, final_rul, engine).limit(100).collect()]
-        if missing:
-            raise ValueError(f"Missing official test RUL for engine ids: {missing}")
-    panel = split_panel(df, 0, profile, rows_per_task, engine, cycle)
-    observed = panel.select(*panel.columns, (panel.last_cycle - F.col(cycle)).alias("_ahead"))
-    known = attach(observed, final_rul.select(engine, "final_rul"), engine, "left", profile, rows_per_task)
-    label = cap_rul(F.col("_ahead") + F.col("final_rul").cast("int"), cap)
-    return known.select(*panel.columns, label.alias(RUL))
+        require_final_rul(df, final_rul, engine)
+    profile = profile or profile_key(df, engine, cycle, rows_per_task)
+    return label_test(split_panel(df, 0, profile, rows_per_task, engine, cycle), final_rul, cap, profile).frame()
+
+
+def require_final_rul(df: DataFrame, final_rul: DataFrame, engine: str = ENGINE) -> None:
+    """Fail with the ids of engines that lack an official label (the first hundred)."""
+    missing = [r[0] for r in missing_final_rul(df, final_rul, engine).limit(100).collect()]
+    if missing:
+        raise ValueError(f"Missing official test RUL for engine ids: {missing}")
 
 
 def join_last_cycle(df: DataFrame, profile: KeyProfile | None = None, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:
@@ -74,7 +83,7 @@ def label_breaks(df: DataFrame, profile: KeyProfile | None = None, rows_per_task
     """Per engine: rows, label at the last cycle, and places where the label rises."""
     panel = split_panel(df, 1, profile, rows_per_task)
     previous = F.lag(RUL).over(panel.ordered)
-    steps = panel.select(ENGINE, CYCLE, RUL, previous.alias("_previous"))
+    steps = panel.select(ENGINE, CYCLE, RUL, previous.alias("_previous")).frame()
     return steps.groupBy(ENGINE).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum((F.col(RUL) > F.col("_previous")).cast("int")), F.lit(0)).alias("violations"),

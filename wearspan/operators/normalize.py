@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from wearspan.functions.rul import repair_std
@@ -17,10 +17,15 @@ SMALL_TABLE = 10_000
 
 
 def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Mean and repaired sample spread of many columns in one pass (wide form)."""
+    """Count, mean, variance and repaired sample spread of many columns in one pass (wide form)."""
     aggregates = []
     for c in columns:
-        aggregates += [F.avg(c).alias(f"{c}__mean"), repair_std(F.stddev_samp(c)).alias(f"{c}__std")]
+        aggregates += [
+            F.count(c).alias(f"{c}__n"),
+            F.avg(c).alias(f"{c}__mean"),
+            F.var_pop(c).alias(f"{c}__var"),
+            repair_std(F.stddev_samp(c)).alias(f"{c}__std"),
+        ]
     return df.groupBy(*by).agg(*aggregates)
 
 
@@ -51,17 +56,40 @@ def fit_normalization(
     train: DataFrame, columns: Sequence[str], by_regime: bool = False, regime: str = REGIME
 ) -> NormalizationStats:
     """Fit the scaling on a training panel; an action, like any other fit."""
-    row = moments(train, columns).first()
-    means = {c: _number(row[f"{c}__mean"], 0.0) for c in columns}
-    stds = {c: _number(row[f"{c}__std"], 1.0) for c in columns}
     if not by_regime:
+        means, stds = _numbers(moments(train, columns).first(), columns)
         return NormalizationStats(tuple(columns), means, stds)
+
     table = moments(train, columns, [regime])
     rows = table.limit(SMALL_TABLE + 1).collect()
     small = len(rows) <= SMALL_TABLE
     if small:
+        means, stds = _merged(rows, columns)
         table = train.sparkSession.createDataFrame(rows, table.schema)
-    return NormalizationStats(tuple(columns), means, stds, table, small, regime)
+    else:
+        means, stds = _numbers(moments(train, columns).first(), columns)
+    return NormalizationStats(tuple(columns), means, stds, table.drop(*_raw(columns)), small, regime)
+
+
+def _raw(columns: Sequence[str]) -> list[str]:
+    return [f"{c}__{part}" for c in columns for part in ("n", "var")]
+
+
+def _numbers(row: Row, columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+    return {c: _number(row[f"{c}__mean"], 0.0) for c in columns}, {c: _number(row[f"{c}__std"], 1.0) for c in columns}
+
+
+def _merged(rows: list[Row], columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+    """Global mean and spread from the regime ones: within-group plus between-group squares."""
+    means, stds = {}, {}
+    for c in columns:
+        groups = [(r[f"{c}__n"], r[f"{c}__mean"], r[f"{c}__var"]) for r in rows if r[f"{c}__n"]]
+        n = sum(size for size, _, _ in groups)
+        mean = sum(size * m for size, m, _ in groups) / n if n else 0.0
+        squares = sum(size * (v + (m - mean) ** 2) for size, m, v in groups)
+        std = math.sqrt(squares / (n - 1)) if n > 1 else 1.0
+        means[c], stds[c] = mean, std if std > 0 else 1.0
+    return means, stds
 
 
 def _number(value, default: float) -> float:

@@ -40,6 +40,10 @@ def rolling_column_names(sensors: Sequence[str], windows: Sequence[int]) -> list
     return [name for n in windows for part in rolling_names(sensors, n) for name in part]
 
 
+def roll(panel: Panel, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS) -> Panel:
+    return panel.select(*panel.columns, *rolling_columns(panel, sensors, windows))
+
+
 def add_rolling(
     df: DataFrame,
     sensors: Sequence[str],
@@ -50,5 +54,4 @@ def add_rolling(
     cycle: str = CYCLE,
 ) -> DataFrame:
     """Add rolling mean and spread of every sensor without crossing engines."""
-    panel = split_panel(df, lookback(windows), profile, rows_per_task, engine, cycle)
-    return panel.select(*panel.columns, *rolling_columns(panel, sensors, windows))
+    return roll(split_panel(df, lookback(windows), profile, rows_per_task, engine, cycle), sensors, windows).frame()

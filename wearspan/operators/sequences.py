@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, split_panel
+from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, split_panel
 from wearspan.schema import CYCLE, ENGINE, RUL, WINDOW_SIZE
 
 
@@ -31,6 +31,15 @@ def _step(features: Sequence[str], target: str, cycle: str):
     )
 
 
+def window_lookback(size: int, stride: int = 1) -> int:
+    """Rows before a window's last one that cutting it reads."""
+    if size <= 0:
+        raise ValueError("window_size must be positive")
+    if stride <= 0:
+        raise ValueError("stride must be positive")
+    return size - 1 if stride == 1 else size + stride - 1
+
+
 def make_windows(
     df: DataFrame,
     features: Sequence[str],
@@ -47,46 +56,44 @@ def make_windows(
     One row per window: engine, start and end cycle, label of the last row, and
     the float cells in time-major order. Windows never cross engines, and engines
     shorter than ``size`` give none.
+    """
+    panel = split_panel(df, window_lookback(size, stride), profile, rows_per_task, engine, cycle)
+    return cut_windows(panel, features, target, size, stride)
+
+
+def cut_windows(
+    panel: Panel, features: Sequence[str], target: str = RUL, size: int = WINDOW_SIZE, stride: int = 1
+) -> DataFrame:
+    """``make_windows`` on a panel that was split with enough lookback.
 
     With a stride, rows are first gathered into blocks of ``stride`` rows that end
     where windows end; a window then takes its last blocks, so the work per row is
     ``1 + size/stride`` instead of ``size``.
     """
-    if size <= 0:
-        raise ValueError("window_size must be positive")
-    if stride <= 0:
-        raise ValueError("stride must be positive")
-    step = _step(features, target, cycle)
-
+    window_lookback(size, stride)
+    step = _step(features, target, panel.cycle)
     if stride == 1:
-        panel = split_panel(df, size - 1, profile, rows_per_task, engine, cycle)
         framed = panel.select(
-            engine, panel.position.alias("_at"), F.collect_list(step).over(panel.trailing(size)).alias("_steps")
+            panel.engine, panel.position.alias("_at"), F.collect_list(step).over(panel.trailing(size)).alias("_steps")
         )
-        return _finish(framed.where(F.col("_at") >= size), engine)
+        return _finish(framed.frame().where(F.col("_at") >= size), panel.engine)
 
-    panel = split_panel(df, size + stride - 1, profile, rows_per_task, engine, cycle)
-    group = list(panel.group)
+    group = panel.group
     ranked = panel.rows.select(*group, panel.position.alias("_at"), panel.owned.alias("_owned"), step.alias("_step"))
     block = F.ceil((F.col("_at") - size) / F.lit(stride)).cast("long")
     blocks = ranked.groupBy(*group, block.alias("_block")).agg(
         F.array_sort(F.collect_list(F.struct("_at", "_owned", "_step"))).alias("_rows")
     )
-    needed = -(-size // stride)
-    recent = Window.partitionBy(*group).orderBy("_block").rowsBetween(1 - needed, 0)
+    recent = Window.partitionBy(*group).orderBy("_block").rowsBetween(1 - -(-size // stride), 0)
     joined = blocks.select(
         *group,
         "_block",
         F.element_at("_rows", -1).alias("_end"),
         F.flatten(F.collect_list("_rows").over(recent)).alias("_all"),
     )
-    whole = (
-        (F.col("_block") >= 0)
-        & (F.col("_end._at") == F.col("_block") * stride + size)
-        & F.col("_end._owned")
-    )
-    ended = joined.where(whole).withColumn("_steps", F.slice(F.col("_all._step"), -size, size))
-    return _finish(ended, engine)
+    complete = (F.col("_block") >= 0) & (F.col("_end._at") == F.col("_block") * stride + size) & F.col("_end._owned")
+    ended = joined.where(complete).withColumn("_steps", F.slice(F.col("_all._step"), -size, size))
+    return _finish(ended, panel.engine)
 
 
 def last_windows(

@@ -2,20 +2,22 @@
 
 A window partitioned by engine puts a whole engine into one task. That is the
 best plan for the usual panel (hundreds of cycles per engine, one shuffle) and a
-dead end for an engine with a third of all rows. ``split_panel`` therefore
-measures the key first. Without a heavy engine it returns the frame untouched;
-with one, the rows of the heavy engines are cut into segments of consecutive
-positions, and each segment carries the few preceding rows a trailing frame
-needs. Results are the same either way.
+dead end for an engine with a third of all rows. A panel is therefore measured
+first. Without a heavy engine ``split_panel`` returns the frame untouched; with
+one, the rows of the heavy engines are cut into segments of consecutive positions,
+and each segment carries the few preceding rows a trailing frame needs. Results
+are the same either way. A ``Panel`` is split once and then passed from operator to
+operator, so labels, rolling statistics and windows share one shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from wearspan.schema import CYCLE, ENGINE
 
@@ -29,43 +31,47 @@ UNBOUNDED = Window.unboundedPreceding
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Row count of a frame and an upper bound on its largest key group."""
+    """Row count of a frame and the keys too large for one task.
+
+    ``heavy`` holds one row per heavy key: (key, first cycle, last cycle), and
+    ``dense`` says that those keys have every cycle from first to last.
+    """
 
     rows: int
-    largest: int
+    heavy: DataFrame | None = None
+    dense: bool = True
 
 
-def profile_key(df: DataFrame, key: str = ENGINE, rows_per_task: int = ROWS_PER_TASK) -> KeyProfile:
-    """Find out whether a key may be too large for one task.
+def heavy_threshold(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Size above which a key is split.
 
-    A frame that fits one task as a whole has no heavy key; for files that count
-    comes from their footers. Otherwise the keys are counted: map-side first, then
-    one summary row to the driver.
+    At most ``rows / threshold`` keys can exceed it, so there are never more than
+    ``BROADCAST_KEYS`` heavy keys and they may always be collected and broadcast.
     """
-    rows = df.count()
-    if rows <= rows_per_task:
-        return KeyProfile(rows, rows)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return KeyProfile(rows, sizes.agg(F.max("n")).first()[0])
+    return max(rows_per_task, rows // BROADCAST_KEYS)
 
 
-def heavy_threshold(profile: KeyProfile, rows_per_task: int = ROWS_PER_TASK) -> int:
-    """Size above which a key is split.
+def profile_key(
+    df: DataFrame, key: str = ENGINE, cycle: str | None = CYCLE, rows_per_task: int = ROWS_PER_TASK
+) -> KeyProfile:
+    """Find the keys that are too large for one task.
 
-    At most ``rows / threshold`` keys can exceed it, so the heavy keys number at
-    most ``BROADCAST_KEYS`` and may always be broadcast.
+    A frame that fits one task as a whole has none; for files that count comes
+    from their footers. Otherwise the keys are counted, map-side first. Without a
+    ``cycle`` column the rows of a key are taken as cycles 1, 2, 3 …
     """
-    return max(rows_per_task, profile.rows // BROADCAST_KEYS)
-
-
-def heavy_keys(
-    df: DataFrame, key: str, profile: KeyProfile, rows_per_task: int = ROWS_PER_TASK, *extra: Column
-) -> DataFrame | None:
-    """The keys too large for one task (with extra aggregates), or None."""
-    threshold = heavy_threshold(profile, rows_per_task)
-    if profile.largest <= threshold:
-        return None
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *extra).where(F.col("_rows") > threshold)
+    rows = df.count()
+    if rows <= rows_per_task:
+        return KeyProfile(rows)
+    n = F.count(F.lit(1))
+    first, last = (F.min(cycle), F.max(cycle)) if cycle else (F.lit(1), n)
+    sizes = df.groupBy(key).agg(n.alias("_n"), first.cast("long").alias("_first"), last.cast("long").alias("_last"))
+    found = sizes.where(F.col("_n") > heavy_threshold(rows, rows_per_task)).collect()
+    if not found:
+        return KeyProfile(rows)
+    dense = all(r["_last"] - r["_first"] + 1 == r["_n"] for r in found)
+    heavy = df.sparkSession.createDataFrame(found, sizes.schema).drop("_n")
+    return KeyProfile(rows, heavy, dense)
 
 
 def with_position(
@@ -91,21 +97,13 @@ def with_position(
 
 
 def rank_within(
-    df: DataFrame,
-    key: str,
-    order: Sequence[Column],
-    bucket: Sequence[Column],
-    name: str,
-    profile: KeyProfile | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, key: str, order: Sequence[Column], bucket: Sequence[Column], name: str, profile: KeyProfile
 ) -> DataFrame:
     """Rank rows within a key: plain window for ordinary keys, bucketed for heavy ones."""
-    profile = profile or profile_key(df, key, rows_per_task)
     plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    heavy = heavy_keys(df, key, profile, rows_per_task)
-    if heavy is None:
+    if profile.heavy is None:
         return df.withColumn(name, plain)
-    heavy = F.broadcast(heavy.select(key))
+    heavy = F.broadcast(profile.heavy.select(key))
     light = df.join(heavy, key, "left_anti").withColumn(name, plain)
     split = with_position(df.join(heavy, key, "left_semi"), [key], order, bucket, name)
     return light.unionByName(split)
@@ -116,17 +114,26 @@ class Panel:
     """Panel rows ready for trailing windows, with the columns to partition them by."""
 
     rows: DataFrame
-    group: tuple[str, ...]
-    engine: str
-    cycle: str
-    split: bool
-    columns: tuple[str, ...]
+    engine: str = ENGINE
+    cycle: str = CYCLE
+    split: bool = False
+
+    # Columns of a split panel: position, segment, carried-along flag, engine's last cycle.
+    HELPERS = ("_pos", "_segment", "_halo", "_last")
+
+    @property
+    def group(self) -> list[str]:
+        return [self.engine, "_segment"] if self.split else [self.engine]
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.rows.columns if c not in self.HELPERS]
 
     @property
-    def ordered(self):
+    def ordered(self) -> WindowSpec:
         return Window.partitionBy(*self.group).orderBy(self.cycle)
 
-    def trailing(self, n: int):
+    def trailing(self, n: int) -> WindowSpec:
         """Frame of the last n rows up to the current one."""
         return self.ordered.rowsBetween(1 - n, 0)
 
@@ -139,8 +146,7 @@ class Panel:
     @property
     def last_cycle(self) -> Column:
         """Largest cycle of the engine, on every row."""
-        whole = self.ordered.rowsBetween(UNBOUNDED, Window.unboundedFollowing)
-        top = F.max(self.cycle).over(whole)
+        top = F.max(self.cycle).over(self.ordered.rowsBetween(UNBOUNDED, Window.unboundedFollowing))
         return F.coalesce(F.col("_last"), top) if self.split else top
 
     @property
@@ -148,11 +154,18 @@ class Panel:
         """False on rows that are only carried along for a following segment."""
         return ~F.col("_halo") if self.split else F.lit(True)
 
-    def select(self, *columns) -> DataFrame:
-        """Project, then keep only the rows each segment owns."""
-        if not self.split:
-            return self.rows.select(*columns)
-        return self.rows.select(*columns, "_halo").where(~F.col("_halo")).drop("_halo")
+    def select(self, *columns: str | Column) -> Panel:
+        """Project, keeping what the split needs."""
+        kept = self.HELPERS if self.split else ()
+        return replace(self, rows=self.rows.select(*columns, *kept))
+
+    def map(self, step: Callable[[DataFrame], DataFrame]) -> Panel:
+        """Apply a row-wise step to the rows."""
+        return replace(self, rows=step(self.rows))
+
+    def frame(self) -> DataFrame:
+        """The plain panel again: every row once."""
+        return self.rows.where(self.owned).drop(*self.HELPERS) if self.split else self.rows
 
 
 def split_panel(
@@ -164,39 +177,31 @@ def split_panel(
     cycle: str = CYCLE,
 ) -> Panel:
     """Prepare a panel for frames that look back ``lookback`` rows."""
-    columns = tuple(df.columns)
-    profile = profile or profile_key(df, engine, rows_per_task)
-    heavy = heavy_keys(df, engine, profile, rows_per_task, F.max(cycle).alias("_last"))
-    if heavy is None:
-        return Panel(df, (engine,), engine, cycle, False, columns)
-
-    heavy = F.broadcast(heavy.select(engine, "_last"))
-    size = max(rows_per_task, lookback, 1)
-    ranked = with_position(
-        df.join(heavy, engine), [engine], [F.col(cycle)], [F.floor(F.col(cycle) / F.lit(size))]
-    )
-    segment = F.floor((F.col("_pos") - 1) / F.lit(size)).cast("long")
-    tail = F.pmod(F.col("_pos") - 1, F.lit(size)) >= size - lookback
-    homes = F.when(tail, F.array(segment, segment + 1)).otherwise(F.array(segment))
-    cut = ranked.withColumn("_segment", F.explode(homes)).withColumn("_halo", F.col("_segment") != segment)
-    light = df.join(heavy, engine, "left_anti").withColumns(
-        {
-            "_last": F.lit(None).cast(df.schema[cycle].dataType),
-            "_pos": F.lit(None).cast("long"),
-            "_segment": F.lit(0).cast("long"),
-            "_halo": F.lit(False),
-        }
+    profile = profile or profile_key(df, engine, cycle, rows_per_task)
+    if profile.heavy is None:
+        return Panel(df, engine, cycle)
+
+    kind = df.schema[cycle].dataType
+    heavy = F.broadcast(profile.heavy)
+    if profile.dense:
+        joined = df.join(heavy, engine, "left").withColumn("_pos", F.col(cycle) - F.col("_first") + 1)
+    else:
+        bucket = F.floor(F.col(cycle) / F.lit(rows_per_task))
+        hot = with_position(df.join(heavy, engine), [engine], [F.col(cycle)], [bucket])
+        light = df.join(heavy, engine, "left_anti")
+        joined = hot.unionByName(light, allowMissingColumns=True)
+    size = F.lit(max(rows_per_task, lookback, 1))
+    home = F.coalesce(F.floor((F.col("_pos") - 1) / size), F.lit(0)).cast("long")
+    tail = F.pmod(F.col("_pos") - 1, size) >= size - lookback
+    placed = joined.withColumn("_segment", F.explode(F.when(tail, F.array(home, home + 1)).otherwise(F.array(home))))
+    rows = placed.select(
+        *df.columns, "_pos", "_segment", (F.col("_segment") != home).alias("_halo"), F.col("_last").cast(kind).alias("_last")
     )
-    return Panel(light.unionByName(cut), (engine, "_segment"), engine, cycle, True, columns)
+    return Panel(rows, engine, cycle, True)
 
 
 def attach(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    profile: KeyProfile | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, lookup: DataFrame, key: str, how: str = "left", profile: KeyProfile | None = None
 ) -> DataFrame:
     """Join rows to a table with one row per key.
 
@@ -205,10 +210,10 @@ def attach(
     """
     if lookup.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
         return df.join(F.broadcast(lookup), key, how)
-    heavy = heavy_keys(df, key, profile or profile_key(df, key, rows_per_task), rows_per_task)
-    if heavy is None:
+    profile = profile or profile_key(df, key, None)
+    if profile.heavy is None:
         return df.join(lookup, key, how)
-    heavy = F.broadcast(heavy.select(key))
+    heavy = F.broadcast(profile.heavy.select(key))
     light = df.join(heavy, key, "left_anti").join(lookup, key, how)
     hot = df.join(heavy, key, "left_semi").join(F.broadcast(lookup.join(heavy, key, "left_semi")), key, how)
     return light.unionByName(hot)

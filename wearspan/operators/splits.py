@@ -16,9 +16,6 @@ CYCLE_FACTOR = 104729
 PERCENT = 100
 FINE = 1_000_003
 FINE_STEP = 16
-SECOND_ENGINE_FACTOR = 611953
-SECOND_CYCLE_FACTOR = 7368787
-SECOND_FINE = 999_983
 
 
 def row_hash(modulus: int, engine: str = ENGINE, cycle: str | None = CYCLE) -> Column:
@@ -29,10 +26,10 @@ def row_hash(modulus: int, engine: str = ENGINE, cycle: str | None = CYCLE) -> C
     return F.pmod(mixed, F.lit(modulus))
 
 
-def second_hash(engine: str = ENGINE, cycle: str = CYCLE) -> Column:
-    """A hash unrelated to ``row_hash``, for shuffling."""
-    mixed = F.col(engine).cast("long") * SECOND_ENGINE_FACTOR + F.col(cycle).cast("long") * SECOND_CYCLE_FACTOR
-    return F.pmod(mixed, F.lit(SECOND_FINE))
+def scrambled_hash(engine: str = ENGINE, cycle: str = CYCLE) -> Column:
+    """The row hash squared, so that rows next to each other in it are unrelated."""
+    h = row_hash(FINE, engine, cycle)
+    return F.pmod(h * h, F.lit(FINE))
 
 
 def with_holdout(df: DataFrame, percent: int = 20, by: str = "row", engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from wearspan.functions.rul import clean
 from wearspan.operators.normalize import NormalizationStats, fit_normalization, normalize
 from wearspan.operators.regimes import RegimeModel, fit_regimes
-from wearspan.operators.rolling import add_rolling, rolling_column_names
-from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile
+from wearspan.operators.rolling import lookback, roll, rolling_column_names
+from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, split_panel
 from wearspan.schema import CYCLE, ENGINE, FLAT_SENSORS, N_REGIMES, REGIME, ROLLING_WINDOWS, RUL, SEED, SENSORS, SETTINGS
 
 
@@ -30,14 +30,22 @@ class FeatureConfig:
 class FeatureSet:
     """Lazy train and test features with what was fitted to make them."""
 
-    train: DataFrame
-    test: DataFrame
+    train_panel: Panel
+    test_panel: Panel
     feature_columns: tuple[str, ...]
     sensor_columns: tuple[str, ...]
     rolling_columns: tuple[str, ...]
     stats: NormalizationStats
     regimes: RegimeModel | None
 
+    @property
+    def train(self) -> DataFrame:
+        return self.train_panel.frame()
+
+    @property
+    def test(self) -> DataFrame:
+        return self.test_panel.frame()
+
 
 def build_features(
     train: DataFrame,
@@ -47,7 +55,20 @@ def build_features(
     train_profile: KeyProfile | None = None,
     test_profile: KeyProfile | None = None,
 ) -> FeatureSet:
-    """Engineer features of a labelled train and test panel.
+    """Engineer features of a labelled train and test panel."""
+    reach = lookback(config.rolling_windows)
+    return engineer(
+        split_panel(train, reach, train_profile, config.rows_per_task),
+        split_panel(test, reach, test_profile, config.rows_per_task),
+        config,
+        regime_column,
+    )
+
+
+def engineer(
+    train: Panel, test: Panel, config: FeatureConfig = FeatureConfig(), regime_column: str | None = None
+) -> FeatureSet:
+    """The feature plan on panels that were split with enough lookback.
 
     Rolling statistics are taken on raw sensor values, then sensors and rolling
     columns (not the settings) are z-scored with statistics of the train panel.
@@ -56,31 +77,32 @@ def build_features(
     dropped = set(config.drop_sensors)
     sensors = [s for s in SENSORS if s not in dropped and s in train.columns]
     settings = [s for s in SETTINGS if s in train.columns]
-    train, test = train.drop(*dropped), test.drop(*dropped)
+    rolling = rolling_column_names(sensors, config.rolling_windows)
+    features = [*([REGIME] if config.normalize_by_regime else []), *settings, *sensors, *rolling]
 
     regimes = None
-    if config.normalize_by_regime:
-        if regime_column is None:
-            regimes = fit_regimes(train, config.n_regimes, config.seed, settings=settings)
-            train, test = regimes.assign(train), regimes.assign(test)
-        else:
-            train = train.withColumn(REGIME, F.col(regime_column).cast("int"))
-            test = test.withColumn(REGIME, F.col(regime_column).cast("int"))
+    if config.normalize_by_regime and regime_column is None:
+        regimes = fit_regimes(train.frame(), config.n_regimes, config.seed, settings=settings)
 
-    rolling = rolling_column_names(sensors, config.rolling_windows)
-    rolled_train = add_rolling(train, sensors, config.rolling_windows, train_profile, config.rows_per_task)
-    rolled_test = add_rolling(test, sensors, config.rolling_windows, test_profile, config.rows_per_task)
+    def add_regime(rows: DataFrame) -> DataFrame:
+        if regimes is not None:
+            return regimes.assign(rows)
+        return rows.withColumn(REGIME, F.col(regime_column).cast("int"))
 
-    stats = fit_normalization(rolled_train, sensors + rolling, config.normalize_by_regime)
-    features = [*([REGIME] if config.normalize_by_regime else []), *settings, *sensors, *rolling]
+    def rolled(panel: Panel) -> Panel:
+        kept = panel.map(lambda rows: rows.drop(*dropped))
+        if config.normalize_by_regime:
+            kept = kept.map(add_regime)
+        return roll(kept, sensors, config.rolling_windows).select(ENGINE, CYCLE, *features, RUL)
+
+    train, test = rolled(train), rolled(test)
+    stats = fit_normalization(train.frame(), sensors + rolling, config.normalize_by_regime)
 
-    def finish(df: DataFrame) -> DataFrame:
-        scaled = normalize(df.select(ENGINE, CYCLE, *features, RUL), stats)
-        doubles = [c for c in features if c != REGIME]
-        return scaled.withColumns({c: clean(F.col(c)) for c in doubles})
+    def finish(rows: DataFrame) -> DataFrame:
+        return normalize(rows, stats).withColumns({c: clean(F.col(c)) for c in features if c != REGIME})
 
     return FeatureSet(
-        finish(rolled_train), finish(rolled_test), tuple(features), tuple(sensors), tuple(rolling), stats, regimes
+        train.map(finish), test.map(finish), tuple(features), tuple(sensors), tuple(rolling), stats, regimes
     )
 
 

@@ -12,12 +12,13 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.operators.labels import add_test_rul, add_train_rul
+from wearspan.operators.labels import label_test, label_train, require_final_rul
 from wearspan.operators.metrics import metrics_dict
-from wearspan.operators.sequences import last_cycle_snapshot, last_windows, make_windows
-from wearspan.operators.skew import profile_key
+from wearspan.operators.rolling import lookback
+from wearspan.operators.sequences import cut_windows, last_cycle_snapshot, last_windows, window_lookback
+from wearspan.operators.skew import split_panel
 from wearspan.operators.splits import expand_grid, with_holdout
-from wearspan.plans.features import FeatureConfig, FeatureSet, build_features
+from wearspan.plans.features import FeatureConfig, FeatureSet, engineer
 from wearspan.schema import (
     FLAT_SENSORS,
     MULTI_REGIME_SUBSETS,
@@ -58,20 +59,25 @@ def prepare_training_data(
     drop_sensors: Sequence[str] = FLAT_SENSORS,
     normalize_by_regime: bool = False,
 ) -> TrainingData:
-    """Label, engineer and window a train/test panel."""
-    train_profile, test_profile = profile_key(raw.train), profile_key(raw.test)
-    train = add_train_rul(raw.train, rul_cap, train_profile)
-    test = add_test_rul(raw.test, raw.final_rul, rul_cap, test_profile)
+    """Label, engineer and window a train/test panel.
+
+    The panels are split once, with lookback for rolling columns and windows
+    together, so every step shares the same partitioning.
+    """
+    require_final_rul(raw.test, raw.final_rul)
+    reach = lookback(rolling_windows) + window_lookback(window_size, window_stride)
+    train = label_train(split_panel(raw.train, reach), rul_cap)
+    test = label_test(split_panel(raw.test, reach), raw.final_rul, rul_cap)
     config = FeatureConfig(tuple(drop_sensors), tuple(rolling_windows), normalize_by_regime)
-    made = build_features(train, test, config, None, train_profile, test_profile)
-    columns = model_features(made.train.columns)
+    made = engineer(train, test, config)
+    columns = model_features(made.train_panel.columns)
     return TrainingData(
         train_features=made.train,
         test_features=made.test,
         test_snapshot=last_cycle_snapshot(made.test),
         feature_columns=tuple(columns),
-        train_windows=make_windows(made.train, columns, RUL, window_size, window_stride, train_profile),
-        test_windows=make_windows(made.test, columns, RUL, window_size, window_stride, test_profile),
+        train_windows=cut_windows(made.train_panel, columns, RUL, window_size, window_stride),
+        test_windows=cut_windows(made.test_panel, columns, RUL, window_size, window_stride),
         final_test_windows=last_windows(made.test, columns, RUL, window_size),
         features=made,
     )

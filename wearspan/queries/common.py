@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,8 @@ def labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, KeyProfile]:
 class SplitPanels:
     train: DataFrame
     test: DataFrame
-    profile: KeyProfile
+    train_profile: KeyProfile
+    test_profile: KeyProfile
 
     def both(self) -> DataFrame:
         train = self.train.withColumn("split", F.lit("train"))
@@ -44,12 +45,17 @@ def split_panels(spark: SparkSession, folder: str) -> SplitPanels:
     source = telemetry(spark, folder)
     final = supplier_final_rul(spark, folder)
     panel = split_panel(source.rows, 0, source.profile)
-    whole = panel.select(*panel.columns, panel.last_cycle.alias("_end"))
+    whole = panel.select(*panel.columns, panel.last_cycle.alias("_end")).frame()
     train = whole.where(~is_test()).drop("_end")
     cut = attach(whole.where(is_test()), final, ENGINE, "inner", source.profile)
     test = cut.where(F.col(CYCLE) <= F.col("_end") - F.col("final_rul")).drop("_end", "final_rul")
+    test_profile = source.profile
+    if test_profile.heavy is not None:
+        ends = test_profile.heavy.join(final, ENGINE).withColumn("_last", F.col("_last") - F.col("final_rul"))
+        test_profile = replace(test_profile, heavy=ends.drop("final_rul"))
     return SplitPanels(
         add_train_rul(train, profile=source.profile),
-        add_test_rul(test, final, profile=source.profile, check=False),
+        add_test_rul(test, final, profile=test_profile, check=False),
         source.profile,
+        test_profile,
     )

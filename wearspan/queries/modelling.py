@@ -69,7 +69,7 @@ def clustered_features(spark: SparkSession, folder: str) -> DataFrame:
     """The feature plan with clustered regimes and no rolling columns."""
     panels = split_panels(spark, folder)
     config = FeatureConfig(rolling_windows=(), normalize_by_regime=True)
-    made = build_features(panels.train, panels.test, config, None, panels.profile, panels.profile)
+    made = build_features(panels.train, panels.test, config, None, panels.train_profile, panels.test_profile)
     both = made.train.withColumn("split", F.lit("train")).unionByName(made.test.withColumn("split", F.lit("test")))
     return rounded(both.select("split", *KEYS, REGIME, "s_2", RUL), ["s_2"], 5)
 
@@ -80,7 +80,7 @@ def clustered_features(spark: SparkSession, folder: str) -> DataFrame:
 def _features(spark: SparkSession, folder: str) -> tuple[SplitPanels, FeatureSet, list[str]]:
     panels = split_panels(spark, folder)
     made = build_features(
-        panels.train, panels.test, FeatureConfig(), train_profile=panels.profile, test_profile=panels.profile
+        panels.train, panels.test, FeatureConfig(), train_profile=panels.train_profile, test_profile=panels.test_profile
     )
     return panels, made, model_features(made.train.columns)
 
@@ -234,15 +234,16 @@ def explanation_json(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {LINEAR},
-taker AS (SELECT *, row_number() OVER (ORDER BY (CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729) % 1000003, engine_id, "cycle") AS place
-  FROM fitted WHERE split = 'train'),
-giver AS (SELECT s_2 AS t_2, s_4 AS t_4,
-    row_number() OVER (ORDER BY (CAST(engine_id AS BIGINT) * 611953 + CAST("cycle" AS BIGINT) * 7368787) % 999983, engine_id, "cycle") AS place
+hashed AS (
+  SELECT *, (((CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729) % 1000003) ** 2) :: BIGINT % 1000003 AS h
   FROM fitted WHERE split = 'train'),
+paired AS (
+  SELECT *, coalesce(lead(s_2) OVER ring, first_value(s_2) OVER ring) AS t_2, coalesce(lead(s_4) OVER ring, first_value(s_4) OVER ring) AS t_4
+  FROM hashed WINDOW ring AS (ORDER BY h, engine_id, "cycle")),
 errors AS (
   SELECT sqrt(avg((prediction - rul) ** 2)) AS base,
          sqrt(avg((prediction + b1 * (t_2 - s_2) - rul) ** 2)) AS e1, sqrt(avg((prediction + b2 * (t_4 - s_4) - rul) ** 2)) AS e2
-  FROM taker JOIN giver USING (place))
+  FROM paired)
 SELECT 's_2' AS feature, round(base, 6) AS base_rmse, round(e1, 6) AS rmse, round(e1 - base, 6) AS importance FROM errors
 UNION ALL SELECT 's_4', round(base, 6), round(e2, 6), round(e2 - base, 6) FROM errors"""
 )
@@ -259,7 +260,7 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 def _window_model(spark: SparkSession, folder: str) -> tuple[SplitPanels, at.LinearFit, DataFrame]:
     panels = split_panels(spark, folder)
-    train = make_windows(panels.train, TWO, RUL, 5, 1, panels.profile)
+    train = make_windows(panels.train, TWO, RUL, 5, 1, panels.train_profile)
     fit = at.fit_window_linear(train, 5, TWO)
     return panels, fit, last_windows(panels.test, TWO, RUL, 5)
 

@@ -147,7 +147,7 @@ SELECT engine_id, "cycle", {_round_sql(ROLLED_MEANS, 6)}, {_round_sql(ROLLED_STD
 def bucketed_rolling(spark: SparkSession, folder: str) -> DataFrame:
     """The same features with every longer engine cut into segments, as heavy engines are."""
     segment = 256
-    source = telemetry(spark, folder, segment)
+    source = telemetry(spark, folder, rows_per_task=segment)
     rolled = add_rolling(source.rows, TELEMETRY_ACTIVE, (5, 10), source.profile, segment)
     return rounded(rounded(rolled.select(*KEYS, *ROLLED), ROLLED_MEANS, 6), ROLLED_STDS, 4)
 
@@ -234,7 +234,7 @@ FROM rolled CROSS JOIN fitted"""
 def build_features_global(spark: SparkSession, folder: str) -> DataFrame:
     panels = split_panels(spark, folder)
     made = build_features(
-        panels.train, panels.test, FeatureConfig(), train_profile=panels.profile, test_profile=panels.profile
+        panels.train, panels.test, FeatureConfig(), train_profile=panels.train_profile, test_profile=panels.test_profile
     )
     both = made.train.withColumn("split", F.lit("train")).unionByName(made.test.withColumn("split", F.lit("test")))
     return rounded(both, SCALED, 5)
@@ -251,7 +251,7 @@ def build_features_by_regime(spark: SparkSession, folder: str) -> DataFrame:
     train = panels.train.withColumn("regime", regime_of())
     test = panels.test.withColumn("regime", regime_of())
     made = build_features(
-        train, test, FeatureConfig(normalize_by_regime=True), "regime", panels.profile, panels.profile
+        train, test, FeatureConfig(normalize_by_regime=True), "regime", panels.train_profile, panels.test_profile
     )
     both = made.train.withColumn("split", F.lit("train")).unionByName(made.test.withColumn("split", F.lit("test")))
     return rounded(both, SCALED, 5)

@@ -59,10 +59,10 @@ def telemetry(spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TA
         F.col("l_discount").alias("s_4"),
         F.col("l_tax").alias("s_7"),
     )
-    profile = profile_key(lines, ENGINE, rows_per_task)
+    profile = profile_key(lines, ENGINE, None, rows_per_task)
     order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")]
     bucket = [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / F.lit(ORDER_RUN))]
-    ranked = rank_within(lines, ENGINE, order, bucket, "_cycle", profile, rows_per_task)
+    ranked = rank_within(lines, ENGINE, order, bucket, "_cycle", profile)
     rows = ranked.select(
         ENGINE,
         F.col("_cycle").cast("int").alias(CYCLE),
@@ -85,9 +85,9 @@ def telemetry_events(spark: SparkSession, folder: str, rows_per_task: int = ROWS
         F.col("value").alias("s_2"),
         F.get_json_object("props", "$.k").cast("double").alias("s_3"),
     )
-    profile = profile_key(events, ENGINE, rows_per_task)
+    profile = profile_key(events, ENGINE, None, rows_per_task)
     bucket = [F.date_trunc("minute", "ts")]
-    ranked = rank_within(events, ENGINE, [F.col("ts"), F.col("event_id")], bucket, "_cycle", profile, rows_per_task)
+    ranked = rank_within(events, ENGINE, [F.col("ts"), F.col("event_id")], bucket, "_cycle", profile)
     rows = ranked.select(ENGINE, F.col("_cycle").cast("int").alias(CYCLE), "setting_1", "s_2", "s_3")
     return PanelSource(rows, profile)
 
