@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -23,6 +24,11 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g", na
     )
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="wearspan-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
@@ -33,6 +39,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="wearspan-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
