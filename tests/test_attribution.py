@@ -31,11 +31,15 @@ def test_linear_fit_is_least_squares(rows, fit):
 
 def test_contributions_add_up_and_rank(rows, fit):
     keys = ["engine_id", "cycle"]
-    ranked = at.rank_attributions(at.linear_attribution(rows, fit, keys), keys)
+    ranked = at.linear_attribution(rows, fit, keys)
+    again = at.rank_attributions(ranked.drop("rank"), keys).select(*ranked.columns)
+    assert again.exceptAll(ranked).count() == 0
     total = ranked.groupBy(*keys).agg(F.sum("value").alias("v"))
     joined = total.join(rows.select(*keys, fit.predict().alias("p")), keys).toPandas()
     np.testing.assert_allclose(joined["v"] + fit.base, joined["p"])
-    end = at.waterfall(ranked, keys, fit.base).where("rank = 2").join(rows.select(*keys, fit.predict().alias("p")), keys).toPandas()
+    built = at.waterfall(ranked.withColumnRenamed("running", "inside"), keys, fit.base)
+    assert built.where(F.abs(F.col("running") - F.col("inside")) > 1e-9).count() == 0
+    end = built.where("rank = 2").join(rows.select(*keys, fit.predict().alias("p")), keys).toPandas()
     np.testing.assert_allclose(end["running"], end["p"])
     first = ranked.groupBy(*keys).agg(F.max_by(F.abs("value"), -F.col("rank")).alias("top"), F.max(F.abs("value")).alias("big")).toPandas()
     assert (first["top"] == first["big"]).all()
@@ -56,9 +60,7 @@ def test_worst_sample_takes_the_first_on_ties(spark):
 
 def test_explanation_record(rows, fit):
     keys = ["engine_id", "cycle"]
-    ranked = at.rank_attributions(at.linear_attribution(rows, fit, keys), keys)
-    scored = rows.select(*keys, fit.predict().alias("prediction"))
-    records = at.explanation_records(ranked, scored, keys, "linear", "FD001", background_n=100)
+    records = at.explanation_records(rows, fit, keys, "linear", "FD001", background_n=100)
     record = json.loads(at.explanation_json(records, keys).first()["json"])
     assert set(record) == {
         "model_name", "dataset", "rul_prediction", "feature_importances", "shap_values_full", "explanation_metadata",

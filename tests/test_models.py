@@ -98,7 +98,7 @@ def test_versions_never_collide(spark, tmp_path):
 
 
 def test_moved_catalogue_still_loads(spark, tmp_path, data):
-    model = tr.pipeline(tr.linear({}), ["s_2"]).fit(data.train_features)
+    model = tr.fit_model(tr.linear({}), data.train_features, ["s_2"])
     old = RunCatalog(spark, str(tmp_path / "old"))
     old.save(model, "linear", "FD001", {"rmse": 1.0}, {}, ["s_2"])
     home = next((tmp_path / "old" / "linear" / "FD001").iterdir())
@@ -150,7 +150,7 @@ def test_grid_search_keeps_the_whole_log(data):
 def test_early_stopping_uses_the_validation_rows(data):
     marked = data.train_features.withColumn("is_validation", F.col("engine_id") % 4 == 0)
     params = {**tr.BOOSTED_DEFAULTS, "n_estimators": 30, "max_depth": 2, "learning_rate": 0.5, "validation_column": "is_validation"}
-    model = tr.pipeline(tr.boosted_trees({**params, "tolerance": 0.1}), data.feature_columns).fit(marked)
+    model = tr.fit_model(tr.boosted_trees({**params, "tolerance": 0.1}), marked, data.feature_columns)
     assert model.stages[-1].getNumTrees < 30
 
 
@@ -171,7 +171,7 @@ def test_run_tables(spark):
 
 
 def test_streamed_requests(spark, tmp_path, data):
-    model = tr.pipeline(tr.linear({}), ["s_2", "s_3"]).fit(data.train_features)
+    model = tr.fit_model(tr.linear({}), data.train_features, ["s_2", "s_3"])
     catalog = RunCatalog(spark, str(tmp_path / "runs"))
     catalog.save(model, "linear", "FD001", {"rmse": 1.0}, {}, ["s_2", "s_3"])
     inbox = tmp_path / "in"

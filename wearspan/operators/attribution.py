@@ -64,17 +64,40 @@ def _least_squares(vectors: DataFrame, names: Sequence[str], ridge: float) -> Li
     )
 
 
-def linear_attribution(df: DataFrame, fit: LinearFit, keys: Sequence[str]) -> DataFrame:
-    """Contribution of every feature to every sample's prediction."""
-    parts = [
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(name).alias("feature"),
-            (F.lit(c) * (F.col(name) - F.lit(m))).alias("value"),
+def _ranked_parts(fit: LinearFit) -> Column:
+    """A row's contributions as an array, largest absolute value first (last feature on ties)."""
+    parts = []
+    for i, (name, c, m) in enumerate(zip(fit.features, fit.coefficients, fit.means)):
+        value = F.lit(c) * (F.col(name) - F.lit(m))
+        parts.append(
+            F.struct(
+                (-F.abs(value)).alias("size"),
+                F.lit(-i).alias("place"),
+                F.lit(i).alias("ordinal"),
+                F.lit(name).alias("feature"),
+                value.alias("value"),
+            )
         )
-        for i, (name, c, m) in enumerate(zip(fit.features, fit.coefficients, fit.means))
-    ]
-    return df.select(*keys, F.inline(F.array(*parts)))
+    return F.array_sort(F.array(*parts))
+
+
+def linear_attribution(df: DataFrame, fit: LinearFit, keys: Sequence[str]) -> DataFrame:
+    """Ranked contribution of every feature to every sample's prediction.
+
+    ``running`` is the prediction built up from the base value in rank order. A
+    sample's features are ranked inside its row, so no data is shuffled.
+    """
+    ranked = df.select(*keys, _ranked_parts(fit).alias("_parts"))
+    steps = ranked.select(*keys, "_parts", F.posexplode("_parts").alias("_at", "_part"))
+    so_far = F.slice(F.col("_parts.value"), F.lit(1), F.col("_at") + 1)
+    return steps.select(
+        *keys,
+        F.col("_part.ordinal").alias("ordinal"),
+        F.col("_part.feature").alias("feature"),
+        F.col("_part.value").alias("value"),
+        (F.col("_at") + 1).alias("rank"),
+        F.aggregate(so_far, F.lit(fit.base), lambda acc, v: acc + v).alias("running"),
+    )
 
 
 def fit_window_linear(windows: DataFrame, size: int, features: Sequence[str], target: str = "target") -> LinearFit:
@@ -116,7 +139,7 @@ def mean_importance(attributions: DataFrame, by: Sequence[str] = ()) -> DataFram
 
 
 def rank_attributions(attributions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number the features of each sample by falling absolute contribution.
+    """Number the features of each sample by falling absolute contribution, for any long table.
 
     A sample has as many rows as the model has features, so the window is small.
     """
@@ -141,8 +164,8 @@ def worst_sample(scored: DataFrame, keys: Sequence[str], truth: str = RUL, predi
 
 
 def explanation_records(
-    ranked: DataFrame,
-    scored: DataFrame,
+    df: DataFrame,
+    fit: LinearFit,
     keys: Sequence[str],
     model_name: str,
     dataset: str,
@@ -150,23 +173,21 @@ def explanation_records(
     background_n: int = 0,
 ) -> DataFrame:
     """One nested record per sample: prediction, sorted importances and provenance."""
-    entry = F.struct(F.col("rank"), F.col("feature"), F.abs("value").alias("size"))
-    signed = F.struct(F.col("ordinal"), F.col("value"))
-    gathered = ranked.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(entry)).alias("_entries"), F.array_sort(F.collect_list(signed)).alias("_signed")
-    )
-    records = scored.select(*keys, "prediction").join(gathered, list(keys))
-    return records.select(
+    parts = df.select(*keys, fit.predict().alias("_prediction"), _ranked_parts(fit).alias("_parts"))
+    in_order = F.array_sort(F.transform("_parts", lambda p: F.struct(p["ordinal"], p["value"])))
+    return parts.select(
         *keys,
         F.lit(model_name).alias("model_name"),
         F.lit(dataset).alias("dataset"),
-        F.col("prediction").cast("double").alias("rul_prediction"),
-        F.map_from_arrays(F.col("_entries.feature"), F.col("_entries.size")).alias("feature_importances"),
+        F.col("_prediction").alias("rul_prediction"),
+        F.map_from_arrays(F.col("_parts.feature"), F.transform("_parts", lambda p: F.abs(p["value"]))).alias(
+            "feature_importances"
+        ),
         F.lit(None).cast("array<array<double>>").alias("shap_values_full"),
         F.struct(
             F.lit(explainer_type).alias("explainer_type"),
             F.lit(background_n).alias("background_n"),
-            F.col("_signed.value").alias("shap_values_1d"),
+            F.transform(in_order, lambda p: p["value"]).alias("shap_values_1d"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("explained_at"),
         ).alias("explanation_metadata"),
     )

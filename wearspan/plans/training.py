@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -153,8 +153,16 @@ FAMILIES: dict[str, tuple[Callable[[dict[str, Any]], Estimator], dict[str, Any],
 }
 
 
-def pipeline(estimator: Estimator, features: Sequence[str]) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), estimator])
+def fit_model(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Fit on assembled columns that are computed once; tree fits read them several times."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    marks = "validationIndicatorCol"
+    extra = [estimator.getOrDefault(marks)] if estimator.hasParam(marks) and estimator.isSet(marks) else []
+    data = assembler.transform(train).select("features", RUL, *extra).persist()
+    try:
+        return PipelineModel([assembler, estimator.fit(data)])
+    finally:
+        data.unpersist()
 
 
 def grid_search(
@@ -224,7 +232,7 @@ def train_model(
             lambda candidate: factory({**chosen, **candidate}), data.train_features, data.feature_columns, grid or default_grid
         )
         chosen.update(best)
-    model = pipeline(factory(chosen), data.feature_columns).fit(data.train_features)
+    model = fit_model(factory(chosen), data.train_features, data.feature_columns)
     metrics = metrics_dict(model.transform(data.test_snapshot))
     version = None
     if catalog is not None:

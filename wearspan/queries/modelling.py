@@ -16,7 +16,7 @@ from wearspan.operators.regimes import fit_regimes
 from wearspan.operators.sequences import last_cycle_snapshot, last_windows, make_windows
 from wearspan.plans.features import FeatureConfig, FeatureSet, build_features
 from wearspan.plans.scoring import score
-from wearspan.plans.training import boosted_trees, grid_search, linear, pipeline, random_forest, search_log_frame
+from wearspan.plans.training import boosted_trees, fit_model, grid_search, linear, random_forest, search_log_frame
 from wearspan.operators.splits import with_holdout
 from wearspan.queries.common import SplitPanels, round_metrics, rounded, split_panels
 from wearspan.queries.registry import SPLIT, TELEMETRY, query, sql_metrics
@@ -86,7 +86,7 @@ def _features(spark: SparkSession, folder: str) -> tuple[SplitPanels, FeatureSet
 
 
 def _score_snapshot(made: FeatureSet, columns: list[str], estimator, train: DataFrame | None = None) -> DataFrame:
-    model = pipeline(estimator, columns).fit(made.train if train is None else train)
+    model = fit_model(estimator, made.train if train is None else train, columns)
     return model.transform(last_cycle_snapshot(made.test)).select(ENGINE, CYCLE, RUL, "prediction")
 
 
@@ -119,7 +119,7 @@ def gbt_early_stopping(spark: SparkSession, folder: str) -> DataFrame:
 def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Global importance of a forest's features."""
     _, made, columns = _features(spark, folder)
-    model = pipeline(random_forest(FOREST), columns).fit(made.train)
+    model = fit_model(random_forest(FOREST), made.train, columns)
     values = model.stages[-1].featureImportances.toArray()
     return spark.createDataFrame([(c, float(v)) for c, v in zip(columns, values)], "feature string, importance double")
 
@@ -159,8 +159,7 @@ def _attributions(spark: SparkSession, folder: str) -> tuple[SplitPanels, at.Lin
 def linear_attribution(spark: SparkSession, folder: str) -> DataFrame:
     """Exact additive contributions of every feature to every prediction, ranked per sample."""
     _, _, parts = _attributions(spark, folder)
-    ranked = at.rank_attributions(parts, SAMPLE)
-    return rounded(ranked.select(*SAMPLE, "feature", "value", "rank"), ["value"], 6)
+    return rounded(parts.select(*SAMPLE, "feature", "value", "rank"), ["value"], 6)
 
 
 @query(
@@ -169,9 +168,8 @@ SELECT split, engine_id, "cycle", feature, rank, round(my + sum(value) OVER (PAR
 FROM ranked"""
 )
 def attribution_waterfall(spark: SparkSession, folder: str) -> DataFrame:
-    _, fit, parts = _attributions(spark, folder)
-    steps = at.waterfall(at.rank_attributions(parts, SAMPLE), SAMPLE, fit.base)
-    return rounded(steps.select(*SAMPLE, "feature", "rank", "running"), ["running"], 5)
+    _, _, parts = _attributions(spark, folder)
+    return rounded(parts.select(*SAMPLE, "feature", "rank", "running"), ["running"], 5)
 
 
 @query(
@@ -181,10 +179,30 @@ SELECT split, engine_id, "cycle", feature, round(abs(value), 6) AS importance FR
 def attribution_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The strongest feature of every sample."""
     _, _, parts = _attributions(spark, folder)
-    top = at.rank_attributions(parts, SAMPLE).where(F.col("rank") <= 1)
+    top = parts.where(F.col("rank") <= 1)
     return top.select(*SAMPLE, "feature", F.round(F.abs("value"), 6).alias("importance"))
 
 
+@query(
+    f"""WITH {LINEAR}, {ATTRIBUTIONS},
+daily AS (SELECT split, observed_on, 's_2' AS feature, 0 AS ordinal, my, avg(b1 * (s_2 - m1)) AS value FROM fitted GROUP BY ALL
+  UNION ALL SELECT split, observed_on, 's_4', 1, my, avg(b2 * (s_4 - m2)) FROM fitted GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY split, observed_on ORDER BY abs(value) DESC, ordinal DESC) AS rank FROM daily)
+SELECT split, CAST(observed_on AS VARCHAR) AS observed_on, feature, CAST(rank AS INTEGER) AS rank, round(value, 6) AS value,
+  round(my + sum(value) OVER (PARTITION BY split, observed_on ORDER BY rank), 5) AS running
+FROM placed"""
+)
+def daily_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean contributions per day, ranked and built up from the base value."""
+    panels, fit = _linear(spark, folder)
+    day = ["split", "observed_on"]
+    rows = panels.both().withColumn("observed_on", F.col("observed_on").cast("string"))
+    parts = at.linear_attribution(rows, fit, day)
+    daily = parts.groupBy(*day, "feature", "ordinal").agg(F.avg("value").alias("value"))
+    steps = at.waterfall(at.rank_attributions(daily, day), day, fit.base)
+    return rounded(rounded(steps.select(*day, "feature", "rank", "value", "running"), ["value"], 6), ["running"], 5)
+
+
 @query(f"WITH {LINEAR}, {ATTRIBUTIONS}\nSELECT feature, round(avg(abs(value)), 6) AS importance FROM parts GROUP BY feature")
 def global_importance(spark: SparkSession, folder: str) -> DataFrame:
     _, _, parts = _attributions(spark, folder)
@@ -211,9 +229,8 @@ FROM ranked JOIN fitted f USING (split, engine_id, "cycle") GROUP BY split, engi
 )
 def explanation_json(spark: SparkSession, folder: str) -> DataFrame:
     """Explanation records written as JSON text and read back."""
-    panels, fit, parts = _attributions(spark, folder)
-    scored = panels.both().select(*SAMPLE, fit.predict().alias("prediction"))
-    records = at.explanation_records(at.rank_attributions(parts, SAMPLE), scored, SAMPLE, "linear", "FD001")
+    panels, fit = _linear(spark, folder)
+    records = at.explanation_records(panels.both(), fit, SAMPLE, "linear", "FD001")
     path = work_folder(spark, "explanations")
     at.explanation_json(records, SAMPLE).write.json(path)
     shape = T.StructType([f for f in records.schema.fields if f.name not in SAMPLE])
@@ -292,7 +309,7 @@ def sequence_importance(spark: SparkSession, folder: str) -> DataFrame:
 def _registered(spark: SparkSession, folder: str) -> tuple[SplitPanels, RunCatalog]:
     """A linear model trained on the train rows and saved with its test metrics."""
     panels = split_panels(spark, folder)
-    model = pipeline(linear({}), TWO).fit(panels.train)
+    model = fit_model(linear({}), panels.train, TWO)
     metrics = metrics_dict(model.transform(panels.test))
     catalog = RunCatalog(spark, work_folder(spark, "catalog"))
     catalog.save(model, "linear", "FD001", metrics, {"reg": 0.0}, TWO, "two sensors", len(TWO))

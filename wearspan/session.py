@@ -18,6 +18,10 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g", na
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
+        # Wide feature projections compile to methods HotSpot would only interpret (over 8000
+        # bytes of code); below that limit Spark splits them into small methods instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
