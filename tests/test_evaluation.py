@@ -82,7 +82,7 @@ def test_exact_holdout_size(spark, fraction, expected):
 
 
 def test_exact_holdout_needs_two_rows(spark):
-    with pytest.raises(ValueError, match="Not enough windows"):
+    with pytest.raises(ValueError, match="two rows"):
         exact_holdout(rows(spark, 1, 1))
 
 

@@ -18,7 +18,7 @@ def test_train_label_falls_to_zero_and_is_capped(tiny):
 def test_no_cap_and_bad_cap(tiny):
     assert keyed(add_train_rul(tiny, cap=None), "rul")[(1, 1)] == 4
     for cap in (0, -5):
-        with pytest.raises(ValueError, match="cap must be positive"):
+        with pytest.raises(ValueError, match="above zero"):
             cap_rul(F.lit(1), cap)
 
 

@@ -7,7 +7,10 @@ from check_queries import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 # Slow fits are left to check_queries.py.
-SLOW = {"rf_score", "gbt_score", "gbt_early_stopping", "rf_importance", "grid_search_log", "kmeans_regimes", "clustered_features"}
+SLOW = {
+    "rf_score", "gbt_score", "gbt_early_stopping", "rf_importance", "grid_search_log", "kmeans_regimes", "clustered_features",
+    "train_and_register",
+}
 
 
 @pytest.fixture(scope="module")

@@ -58,7 +58,7 @@ def test_short_engines_and_bad_sizes(tiny):
     assert make_windows(labelled, ["s_2"], size=6).count() == 0
     assert last_windows(labelled, ["s_2"], size=6).count() == 0
     for size, stride in ((0, 1), (3, 0), (-1, 2)):
-        with pytest.raises(ValueError, match="must be positive"):
+        with pytest.raises(ValueError, match="at least one row"):
             make_windows(labelled, ["s_2"], size=size, stride=stride)
 
 
@@ -97,6 +97,6 @@ def test_patches_and_channels(spark):
     cut = df.select(patches(channels(F.col("w"), 2)[0], 8, 4, 3)).first()[0]
     assert cut == [[0.0, 1.0, 2.0, 3.0], [3.0, 4.0, 5.0, 6.0]]
     assert patch_count(30, 10, 5) == 5
-    for size, length, stride, word in ((8, 10, 5, "exceed"), (30, 0, 5, "length"), (30, 10, 0, "stride")):
+    for size, length, stride, word in ((8, 10, 5, "longer"), (30, 0, 5, "at least"), (30, 10, 0, "stride")):
         with pytest.raises(ValueError, match=word):
             patch_count(size, length, stride)

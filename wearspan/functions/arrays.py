@@ -52,11 +52,11 @@ def instance_normalize(channel: Column, eps: float = 1e-5, scale: float = 1.0, s
 def patch_count(window_size: int, length: int, stride: int) -> int:
     """Number of patches a window is cut into; rejects impossible sizes."""
     if length <= 0:
-        raise ValueError("patch_length must be positive")
+        raise ValueError("a patch needs at least one step")
     if stride <= 0:
-        raise ValueError("patch_stride must be positive")
+        raise ValueError("patches need a stride of at least one step")
     if length > window_size:
-        raise ValueError("patch_length cannot exceed window_size")
+        raise ValueError("a patch cannot be longer than its window")
     return 1 + (window_size - length) // stride
 
 

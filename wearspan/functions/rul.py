@@ -13,7 +13,7 @@ def cap_rul(rul: Column, cap: int | None = RUL_CAP) -> Column:
     if cap is None:
         return rul.cast("int")
     if cap <= 0:
-        raise ValueError("rul cap must be positive")
+        raise ValueError("the label cap has to be above zero")
     return F.least(rul, F.lit(cap)).cast("int")
 
 

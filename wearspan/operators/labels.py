@@ -66,7 +66,7 @@ def require_final_rul(df: DataFrame, final_rul: DataFrame, engine: str = ENGINE)
     """Fail with the ids of engines that lack an official label (the first hundred)."""
     missing = [r[0] for r in missing_final_rul(df, final_rul, engine).limit(100).collect()]
     if missing:
-        raise ValueError(f"Missing official test RUL for engine ids: {missing}")
+        raise ValueError(f"no official remaining life for engines {missing}")
 
 
 def join_last_cycle(df: DataFrame, profile: KeyProfile | None = None, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:

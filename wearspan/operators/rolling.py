@@ -14,7 +14,7 @@ from wearspan.schema import CYCLE, ENGINE, ROLLING_WINDOWS, rolling_names
 def lookback(windows: Sequence[int]) -> int:
     """Rows before the current one that the widest window reads."""
     if any(n <= 0 for n in windows):
-        raise ValueError("rolling windows must be positive")
+        raise ValueError("a rolling window needs at least one row")
     return max(windows, default=1) - 1
 
 

@@ -34,9 +34,9 @@ def _step(features: Sequence[str], target: str, cycle: str):
 def window_lookback(size: int, stride: int = 1) -> int:
     """Rows before a window's last one that cutting it reads."""
     if size <= 0:
-        raise ValueError("window_size must be positive")
+        raise ValueError("a window needs at least one row")
     if stride <= 0:
-        raise ValueError("stride must be positive")
+        raise ValueError("windows need a stride of at least one row")
     return size - 1 if stride == 1 else size + stride - 1
 
 
@@ -109,8 +109,7 @@ def last_windows(
     Only the last ``size`` rows per engine are kept, and Spark applies that limit
     before the shuffle, so no other window is built.
     """
-    if size <= 0:
-        raise ValueError("window_size must be positive")
+    window_lookback(size)
     newest = Window.partitionBy(engine).orderBy(F.col(cycle).desc())
     tail = df.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= size)
     gathered = tail.groupBy(engine).agg(

@@ -57,7 +57,7 @@ def exact_holdout(df: DataFrame, fraction: float = 0.2, engine: str = ENGINE, cy
     total = histogram.agg(F.sum("_n")).first()[0] or 0
     size = max(1, int(total * fraction))
     if total - size <= 0:
-        raise ValueError("Not enough windows to create a train/validation split")
+        raise ValueError("a hold-out needs at least two rows")
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edge = (
         histogram.withColumn("_start", before)

@@ -35,7 +35,7 @@ def check_features(given: Sequence[str], contract: Sequence[str]) -> None:
 
 def check_family(model_name: str) -> None:
     if model_name not in TABULAR_FAMILIES:
-        raise UnsupportedModelError(f"Prediction is not implemented for model '{model_name}'.")
+        raise UnsupportedModelError(f"model family '{model_name}' does not score feature tables")
 
 
 def apply_contract(df: DataFrame, contract: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

@@ -179,7 +179,7 @@ def grid_search(
     """
     candidates = expand_grid(grid)
     if not candidates or not grid:
-        raise ValueError("Parameter grid produced no candidates")
+        raise ValueError("the parameter grid is empty")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     marked = with_holdout(train, percent, by)
     data = assembler.transform(marked).select("features", RUL, "is_validation").persist()
@@ -243,7 +243,7 @@ def train_model(
             metrics,
             {"final": chosen, "search": log},
             list(data.feature_columns),
-            f"{family} baseline trained on engineered cycle-level features.",
+            f"{family} on engineered features, one row per cycle",
         )["version"]
     return TrainedModel(family, dataset, model, chosen, metrics, data.feature_columns, log, version)
 

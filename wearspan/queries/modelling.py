@@ -14,17 +14,28 @@ from wearspan.operators import attribution as at
 from wearspan.operators.metrics import metrics_dict
 from wearspan.operators.regimes import fit_regimes
 from wearspan.operators.sequences import last_cycle_snapshot, last_windows, make_windows
+from wearspan.operators.skew import attach
+from wearspan.operators.splits import with_holdout
 from wearspan.plans.features import FeatureConfig, FeatureSet, build_features
 from wearspan.plans.scoring import score
-from wearspan.plans.training import boosted_trees, fit_model, grid_search, linear, random_forest, search_log_frame
-from wearspan.operators.splits import with_holdout
+from wearspan.plans.training import (
+    boosted_trees,
+    fit_model,
+    grid_search,
+    linear,
+    prepare_training_data,
+    random_forest,
+    search_log_frame,
+    train_all,
+)
 from wearspan.queries.common import SplitPanels, round_metrics, rounded, split_panels
 from wearspan.queries.registry import SPLIT, TELEMETRY, query, sql_metrics
 from wearspan.schema import CYCLE, ENGINE, REGIME, RUL, SEED, SETTINGS, model_features
 from wearspan.session import work_folder
 from wearspan.sources.catalog import RunCatalog
-from wearspan.sources.tables import TELEMETRY_SENSORS, is_test, telemetry
-from wearspan.sources.telemetry import read_sensor_log, write_sensor_log
+from wearspan.schema import TELEMETRY as TELEMETRY_SCHEMA
+from wearspan.sources.tables import TELEMETRY_SENSORS, is_test, supplier_final_rul, telemetry
+from wearspan.sources.telemetry import PanelTriple, load_subset, read_final_rul, read_sensor_log, write_sensor_log
 from wearspan.streaming.scoring import start_scoring
 
 KEYS = [ENGINE, CYCLE]
@@ -367,6 +378,19 @@ def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return answers.select("request_id", F.round("rul_prediction", 5).alias("rul_prediction"), "error")
 
 
+@query()
+def train_and_register(spark: SparkSession, folder: str) -> DataFrame:
+    """Train every tabular family on one feature frame, register the runs, list them."""
+    panels = split_panels(spark, folder)
+    raw = PanelTriple(panels.train.drop(RUL), panels.test.drop(RUL), supplier_final_rul(spark, folder))
+    data = prepare_training_data(raw, rolling_windows=(5,))
+    catalog = RunCatalog(spark, work_folder(spark, "trained"))
+    small = {"random_forest": {"n_estimators": 5, "max_depth": 4}, "gradient_boosting": {"n_estimators": 3, "max_depth": 3}}
+    train_all("FD001", data, catalog, tune=False, params=small)
+    metrics = [F.col("metrics")[m].alias(m) for m in ("rmse", "mae", "r2", "nasa_score")]
+    return catalog.list_models(dataset="FD001").select("model_name", "dataset", "artifact_available", *metrics)
+
+
 TEXT_SCHEMA = T.StructType(
     [T.StructField(c, T.IntegerType()) for c in KEYS]
     + [T.StructField(c, T.DoubleType()) for c in [*SETTINGS, *TELEMETRY_SENSORS]]
@@ -379,3 +403,48 @@ def text_scan_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "sensor-log")
     write_sensor_log(telemetry(spark, folder).rows, path, TEXT_SCHEMA)
     return read_sensor_log(spark, path, TEXT_SCHEMA)
+
+
+def _write_final_rul(spark: SparkSession, folder: str, path: str) -> None:
+    """One value per line in engine order, as a folder of part files."""
+    ordered = supplier_final_rul(spark, folder).orderBy(ENGINE)
+    ordered.select(F.col("final_rul").cast("string").alias("value")).write.text(path)
+
+
+@query(
+    """SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER) AS engine_id,
+  CAST(20 + s_suppkey % 100 AS INTEGER) AS final_rul FROM supplier"""
+)
+def final_rul_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Official labels written line by line and read back by line number."""
+    path = work_folder(spark, "final-rul")
+    _write_final_rul(spark, folder, path)
+    return read_final_rul(spark, path)
+
+
+@query(
+    f"""WITH {SPLIT}
+SELECT split, engine_id + 1 AS engine_id, count(*) AS n_cycles, round(sum(s_3), 2) AS sum_s_3,
+  CAST(CASE WHEN split = 'test' THEN 20 + engine_id % 100 END AS INTEGER) AS final_rul
+FROM split_panel GROUP BY split, engine_id"""
+)
+def subset_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole subset written as text (train, test, official labels) and loaded by name.
+
+    Label files count engines from one, the tables from zero, hence the shift.
+    """
+    root = work_folder(spark, "subset")
+    panels = split_panels(spark, folder)
+    absent = {f.name: F.lit(None).cast("double") for f in TELEMETRY_SCHEMA if f.name not in panels.train.columns}
+    shifted = {ENGINE: F.col(ENGINE) + 1, **absent}
+    write_sensor_log(panels.train.withColumns(shifted), f"{root}/train_FD001.txt")
+    write_sensor_log(panels.test.withColumns(shifted), f"{root}/test_FD001.txt")
+    _write_final_rul(spark, folder, f"{root}/RUL_FD001.txt")
+    loaded = load_subset(spark, "fd001", root)
+
+    def totals(rows: DataFrame, split: str) -> DataFrame:
+        found = rows.groupBy(ENGINE).agg(F.count(F.lit(1)).alias("n_cycles"), F.round(F.sum("s_3"), 2).alias("sum_s_3"))
+        return found.withColumn("split", F.lit(split))
+
+    test = attach(totals(loaded.test, "test"), loaded.final_rul, ENGINE, "left")
+    return totals(loaded.train, "train").unionByName(test, allowMissingColumns=True)

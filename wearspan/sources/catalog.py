@@ -207,7 +207,7 @@ class RunCatalog:
         found = latest_runs(found) if version == "latest" else found.where(F.col("version") == version)
         row = found.select(*RUN_RECORD.names).first()
         if row is None:
-            raise ModelNotFoundError(f"No metadata found for {model_name}/{dataset}/{version}.")
+            raise ModelNotFoundError(f"no run {model_name}/{dataset}/{version} under {self.root}")
         return row.asDict(recursive=True)
 
     def load(self, model_name: str, dataset: str, version: str = "latest") -> tuple[dict[str, Any], PipelineModel]:
@@ -217,4 +217,4 @@ class RunCatalog:
         for path in (record["artifact_path"], near):
             if self.exists(path):
                 return record, PipelineModel.load(path)
-        raise ModelNotFoundError(f"Artifact not found for {model_name}/{dataset}/{version}: {near}")
+        raise ModelNotFoundError(f"run {model_name}/{dataset}/{version} has no saved model at {near}")

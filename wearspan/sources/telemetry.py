@@ -45,14 +45,15 @@ def read_final_rul(spark: SparkSession, path: str) -> DataFrame:
     """Read one remaining-life value per line; line n belongs to engine n.
 
     Lines are numbered inside each file block and shifted by the lines of the
-    blocks before it, so a large file is still read in parallel.
+    blocks before it, so a large file is still read in parallel. The part files of a
+    folder count on in the order of their names.
     """
     lines = (
         spark.read.text(path)
-        .select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+        .select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("_line"))
         .where(F.length(F.trim("value")) > 0)
     )
-    numbered = with_position(lines, [], [F.col("_line")], [F.col("_block")], "_n")
+    numbered = with_position(lines, [], [F.col("_line")], [F.col("file_path"), F.col("file_block_start")], "_n")
     first = F.element_at(_fields(), 1).cast("double").cast("int")
     return numbered.select(F.col("_n").cast("int").alias(ENGINE), first.alias("final_rul"))
 
@@ -61,7 +62,7 @@ def load_subset(spark: SparkSession, dataset: str, data_root: str) -> PanelTripl
     """Read one named subset from ``train_*.txt``, ``test_*.txt`` and ``RUL_*.txt``."""
     name = dataset.upper()
     if name not in SUBSETS:
-        raise ValueError(f"Unsupported dataset: {name}")
+        raise ValueError(f"unknown subset {name}; choose from {SUBSETS}")
     root = data_root.rstrip("/")
     return PanelTriple(
         read_sensor_log(spark, f"{root}/train_{name}.txt"),

@@ -24,7 +24,7 @@ def contract_problem(contract: list[str], column: str = "features") -> Column:
     missing = F.array_except(wanted, given)
     extra = F.array_sort(F.array_except(given, wanted))
     return (
-        F.when(F.col(column).isNull(), F.lit("Tabular models require a 'features' object."))
+        F.when(F.col(column).isNull(), F.lit("the request has no features"))
         .when(
             F.size(missing) > 0,
             F.concat(
