@@ -12,7 +12,8 @@ os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    os.environ["PYSPARK_SUBMIT_ARGS"] = f"--conf spark.checkpoint.dir={tmp_path_factory.mktemp('work')} pyspark-shell"
     session = local_session("8", partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,20 +26,10 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g", na
     )
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="wearspan-")
-
-
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder.
+    """A fresh sub-folder of the shared checkpoint folder, or where none is set, of the warehouse.
 
-    A cluster must name that folder in ``spark.checkpoint.dir``; only a local
-    master falls back to a temporary folder.
+    Both are folders that the driver and all executors share.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
