@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.llm import exact, mixing, quality, rollups, secrets, sql
+from wearspan.llm import exact, mixing, packing, quality, rollups, secrets, sql
 from wearspan.llm.common import documents, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def vocabulary() -> str:
+    """The word tokenizer's file; this module is installed beside the public vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary())
+
+
 @query(sql.EXACT)
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(documents(spark, sf_dir), exact.DigestIndex(spark))
