@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.llm import exact, mixing, packing, quality, rollups, secrets, sql
+from wearspan.llm import exact, mixing, packing, parsing, quality, rollups, secrets, sql, substring
 from wearspan.llm.common import documents, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query(sql.SUBSTRING)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(documents(spark, sf_dir))
+
+
 def vocabulary() -> str:
     """The word tokenizer's file; this module is installed beside the public vocabularies."""
     import public_tokenizers
@@ -66,6 +71,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+@query(sql.PARSING)
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.remove_repeats(documents(spark, sf_dir))
+
+
 @query(sql.QUALITY)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir)).drop("lang", "source")

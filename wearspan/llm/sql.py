@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearspan.llm import mixing, quality, rollups, secrets
+from wearspan.llm import mixing, parsing, quality, rollups, secrets, substring
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -188,3 +188,45 @@ FROM d LEFT JOIN by_doc ON d.doc_id = by_doc.doc_id
 
 
 SECRETS = _secrets()
+
+
+SUBSTRING = rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS words FROM documents),
+p AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + {substring.MIN_WORDS - 1}], ' ')) AS h
+  FROM d, unnest(range(1, len(words) - {substring.MIN_WORDS - 2})) AS u(i) WHERE len(words) >= {substring.MIN_WORDS}),
+r AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM p) WHERE c > 1),
+w AS MATERIALIZED (SELECT doc_id, generate_subscripts(words, 1) AS j, unnest(words) AS word FROM d),
+m AS MATERIALIZED (
+  SELECT w.doc_id, j, word,
+         coalesce(max(r.i) OVER (PARTITION BY w.doc_id ORDER BY j) > j - {substring.MIN_WORDS}, false) AS gone
+  FROM w LEFT JOIN r ON w.doc_id = r.doc_id AND w.j = r.i),
+k AS MATERIALIZED (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept
+  FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+# Bytes as pairs of hexadecimal digits.
+PARSING = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n_bytes FROM documents),
+p AS MATERIALIZED (
+  SELECT doc_id, i, md5(x[2 * i + 1:2 * i + {2 * parsing.MIN_BYTES}]) AS h
+  FROM d, unnest(range(0, n_bytes - {parsing.MIN_BYTES - 1})) AS u(i) WHERE n_bytes >= {parsing.MIN_BYTES}),
+r AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM p) WHERE c > 1),
+g AS MATERIALIZED (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {parsing.MIN_BYTES}, true) AS opens FROM r),
+s AS MATERIALIZED (
+  SELECT doc_id, run, min(i) AS b, max(i) + {parsing.MIN_BYTES} AS e
+  FROM (SELECT doc_id, i, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+k AS MATERIALIZED (
+  SELECT d.doc_id, count(*) AS n_spans, CAST(sum(e - b) AS BIGINT) AS n_removed,
+         string_agg(d.x[2 * before + 1:2 * b], '' ORDER BY run) || any_value(d.x)[2 * max(e) + 1:] AS kept
+  FROM (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY run), 0) AS before FROM s) s JOIN d ON d.doc_id = s.doc_id
+  GROUP BY d.doc_id)
+SELECT d.doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
