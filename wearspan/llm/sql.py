@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearspan.llm import mixing, parsing, quality, rollups, secrets, substring
+from wearspan.llm import jaccard, mixing, parsing, quality, rollups, secrets, substring
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -230,3 +230,23 @@ SELECT d.doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n
        sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+
+JACCARD = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}') AS words
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS sh
+  FROM d, unnest(range(1, greatest(len(words) - 2, 2))) AS u(i) WHERE len(words) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id
+  WHERE 100 * common >= {jaccard.PERCENT} * (nx.n + ny.n - common)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x),
+c AS MATERIALIZED (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n ON c.doc_id = n.doc_id
+"""
