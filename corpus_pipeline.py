@@ -9,29 +9,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import exact, mixing, quality
+from wearspan.llm import exact, jaccard, mixing, packing, quality
 from wearspan.llm.common import documents, settled
+from wearspan.llm.queries import vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the adaptive rules accept."""
     return quality.accepted(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, by a digest index of this run."""
     return exact.keep_first(docs, exact.DigestIndex(spark))
 
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     return mixing.repeat(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens."""
+    return packing.pack(docs, vocabulary())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_dedup),
-    ("mix_sources", mixed),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
 ]
 
-#: Packing needs a tokenizer, which SQL has not.
+#: Packing needs a tokenizer, which SQL has not; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.llm import exact, jaccard, mixing, packing, parsing, quality, rollups, secrets, sql, substring
+from wearspan.llm import exact, jaccard, mixing, packing, parsing, quality, rollups, secrets, sql, substring, toxicity
 from wearspan.llm.common import documents, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,13 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    weights = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, weights)
+
+
 @query(sql.PARSING)
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.remove_repeats(documents(spark, sf_dir))
