@@ -88,6 +88,11 @@ def test_window_attribution(spark):
     assert strongest["feature"] == "s_2"
 
 
+def test_shuffled_values_do_not_depend_on_cells(rows):
+    few, many = (at.shuffled_values(rows, ["a", "b"], rows_per_task=n) for n in (10**6, 7))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+
+
 @pytest.mark.parametrize("rows_per_task", [40, 10**6])
 def test_shuffled_values_are_a_permutation(rows, rows_per_task):
     out = at.shuffled_values(rows, ["a", "b"], rows_per_task=rows_per_task).toPandas()

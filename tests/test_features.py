@@ -102,3 +102,15 @@ def test_exploration(spark, tiny):
     lives = {r["engine_id"]: r["max_cycle"] for r in explore.engine_lives(tiny).collect()}
     assert lives == {1: 5, 2: 5}
     assert keyed(tiny, "s_2")[(2, 3)] == 204.0
+
+
+def test_values_that_are_no_numbers_are_skipped(spark):
+    rows = [(1, c, 1.0, float("nan") if c == 3 else float(c)) for c in range(1, 6)]
+    df = spark.createDataFrame(rows, "engine_id int, cycle int, setting_1 double, s_2 double").withColumn("operating_regime", F.lit(0))
+    for by_regime in (False, True):
+        stats = norm.fit_normalization(df, ["s_2"], by_regime)
+        assert stats.means["s_2"] == 3.0 and abs(stats.stds["s_2"] - 1.8257418583505538) < 1e-9
+    from wearspan.operators.rolling import add_rolling
+
+    rolled = {r["cycle"]: (r["s_2_roll2_mean"], r["s_2_roll2_std"]) for r in add_rolling(df, ["s_2"], (2,)).collect()}
+    assert rolled[3] == (2.0, 0.0) and rolled[4] == (4.0, 0.0) and rolled[5] == (4.5, 0.7071067811865476)

@@ -59,3 +59,13 @@ def test_lookup_join_is_the_same_with_and_without_broadcast(tiny, monkeypatch, l
     joined = join_last_cycle(tiny, profile)
     assert keyed(joined, "max_cycle") == {(e, c): 5 for e in (1, 2) for c in range(1, 6)}
     assert keyed(join_last_cycle(tiny, skew.KeyProfile(10)), "max_cycle") == keyed(joined, "max_cycle")
+
+
+def test_missing_life_is_no_label(spark, tiny):
+    final = spark.createDataFrame([(1, 10), (2, None)], "engine_id int, final_rul int")
+    assert [r[0] for r in missing_final_rul(tiny, final).collect()] == [2]
+    with pytest.raises(ValueError, match="1 engines"):
+        add_test_rul(tiny, final)
+    labels = keyed(add_test_rul(tiny, final, check=False), "rul")
+    assert all(v is None for (e, _), v in labels.items() if e == 2)
+    assert labels[(1, 5)] == 10

@@ -73,7 +73,7 @@ def test_results_are_appended(spark, catalog, trained):
 def test_listing_and_resolution(catalog, trained):
     listed = catalog.list_models("random_forest", "FD001").collect()
     assert len(listed) == 1 and listed[0]["artifact_available"] and "rmse" in listed[0]["metrics"]
-    assert json.loads(listed[0]["params"])["final"]["n_estimators"] == 4
+    assert json.loads(listed[0]["params"])["chosen"]["n_estimators"] == 4
     record = catalog.resolve("random_forest", "FD001")
     assert record["version"] == trained[0].version
     assert catalog.resolve("random_forest", "FD001", record["version"])["created_at"] == record["created_at"]
@@ -119,18 +119,18 @@ def test_scoring_contract(spark, catalog, trained, data):
     assert got == {r[0]: r[1] for r in want.collect()}
     zeros = spark.createDataFrame([tuple(0.0 for _ in data.feature_columns)], list(data.feature_columns))
     assert isinstance(score(catalog, zeros, "gradient_boosting", "FD001").first()["rul_prediction"], float)
-    with pytest.raises(FeatureContractError, match=f"Missing {len(data.feature_columns) - 1} required"):
+    with pytest.raises(FeatureContractError, match=rf"Missing features \({len(data.feature_columns) - 1}\)"):
         score(catalog, spark.createDataFrame([(0.0,)], "setting_1 double"), "random_forest", "FD001")
-    with pytest.raises(FeatureContractError, match=r"Unexpected feature\(s\): extra"):
+    with pytest.raises(FeatureContractError, match=r"not registered \(1\): extra"):
         apply_contract(zeros.withColumn("extra", F.lit(1.0)), data.feature_columns)
     with pytest.raises(UnsupportedModelError):
         score(catalog, zeros, "gru_rul", "FD001")
 
 
-def test_long_missing_lists_are_shortened():
+def test_long_missing_lists_are_shortened(spark):
     with pytest.raises(FeatureContractError) as error:
-        check_features([], [f"f{i}" for i in range(20)])
-    assert str(error.value) == "Missing 20 required feature(s): f0, f1, f2, f3, f4, f5, f6, f7"
+        check_features(spark, [], [f"f{i}" for i in range(20)])
+    assert str(error.value) == "Missing features (20): f0, f1, f2, f3, f4, f5, f6, f7"
 
 
 def test_map_payload(spark):
@@ -188,8 +188,8 @@ def test_streamed_requests(spark, tmp_path, data):
     ).awaitTermination()
     answers = {r["request_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert answers["good"]["error"] is None and answers["good"]["rul_prediction"] is not None
-    assert answers["short"]["error"] == "Missing 1 required feature(s): s_3"
-    assert answers["long"]["error"] == "Unexpected feature(s): s_9"
+    assert answers["short"]["error"] == "Missing features (1): s_3"
+    assert answers["long"]["error"] == "features not registered (1): s_9"
     assert "features" in answers["empty"]["error"]
     assert all(answers[k]["rul_prediction"] is None for k in ("short", "long", "empty"))
     with pytest.raises(UnsupportedModelError):

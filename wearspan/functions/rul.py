@@ -14,7 +14,13 @@ def cap_rul(rul: Column, cap: int | None = RUL_CAP) -> Column:
         return rul.cast("int")
     if cap <= 0:
         raise ValueError("the label cap has to be above zero")
-    return F.least(rul, F.lit(cap)).cast("int")
+    # least() would skip a missing life and answer with the cap
+    return F.when(rul.isNotNull(), F.least(rul, F.lit(cap))).cast("int")
+
+
+def present(value: Column) -> Column:
+    """The value, or null where it is not a number, so that statistics skip it."""
+    return F.when(~F.isnan(value), value)
 
 
 def repair_std(std: Column) -> Column:

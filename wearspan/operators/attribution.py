@@ -208,17 +208,23 @@ def shuffled_values(
 ) -> DataFrame:
     """Give every row the feature values of another row, under ``<name>_shuffled``.
 
-    Rows are dealt to cells by a scrambled hash, as many cells as the row count
-    needs, and take the values of the next row of their cell in hash order (the
-    last one those of the first). That is a permutation and costs one shuffle.
+    All rows form one ring in the order of a scrambled hash, and each takes the values
+    of the next. Cells of neighbouring hashes, as many as the row count needs, are
+    ordered apart; the last row of a cell takes those of the next cell's first, so the
+    permutation does not depend on the number of cells.
     """
     cells = max(1, -(-df.count() // rows_per_task))
     hashed = df.withColumn("_hash", scrambled_hash(engine, cycle))
-    cell = F.floor(F.col("_hash") * cells / F.lit(FINE))
-    ring = Window.partitionBy(cell).orderBy("_hash", engine, cycle)
+    hashed = hashed.withColumn("_cell", F.floor(F.col("_hash") * cells / F.lit(FINE)))
     values = F.struct(*features)
-    following = F.coalesce(F.lead(values).over(ring), F.first(values).over(ring))
-    taken = hashed.withColumn("_other", following)
+    # one row per cell
+    firsts = hashed.groupBy("_cell").agg(F.min_by(values, F.struct("_hash", engine, cycle)).alias("_first"))
+    around = Window.orderBy("_cell")
+    nexts = firsts.select(
+        F.col("_cell").alias("_of"), F.coalesce(F.lead("_first").over(around), F.first("_first").over(around)).alias("_next")
+    )
+    inside = hashed.withColumn("_other", F.lead(values).over(Window.partitionBy("_cell").orderBy("_hash", engine, cycle)))
+    taken = inside.join(nexts, F.col("_cell") == F.col("_of")).withColumn("_other", F.coalesce("_other", "_next"))
     return taken.select(*df.columns, *[F.col("_other")[c].alias(f"{c}_shuffled") for c in features])
 
 

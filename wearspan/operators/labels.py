@@ -9,6 +9,9 @@ from wearspan.functions.rul import cap_rul
 from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, attach, profile_key, split_panel
 from wearspan.schema import CYCLE, ENGINE, RUL, RUL_CAP
 
+# Ids that an error message spells out; it also says how many there are.
+NAMED_ENGINES = 100
+
 
 def label_train(panel: Panel, cap: int | None = RUL_CAP) -> Panel:
     """Label a run-to-failure panel: cycles left until the engine's last one, capped."""
@@ -37,8 +40,9 @@ def add_train_rul(
 
 
 def missing_final_rul(df: DataFrame, final_rul: DataFrame, engine: str = ENGINE) -> DataFrame:
-    """Engines of a censored panel that have no official final label."""
-    return df.select(engine).distinct().join(final_rul, engine, "left_anti").orderBy(engine)
+    """Engines of a censored panel that have no official final label, or an empty one."""
+    known = final_rul.where(F.col("final_rul").isNotNull()) if "final_rul" in final_rul.columns else final_rul
+    return df.select(engine).distinct().join(known, engine, "left_anti").orderBy(engine)
 
 
 def add_test_rul(
@@ -63,10 +67,13 @@ def add_test_rul(
 
 
 def require_final_rul(df: DataFrame, final_rul: DataFrame, engine: str = ENGINE) -> None:
-    """Fail with the ids of engines that lack an official label (the first hundred)."""
-    missing = [r[0] for r in missing_final_rul(df, final_rul, engine).limit(100).collect()]
-    if missing:
-        raise ValueError(f"no official remaining life for engines {missing}")
+    """Fail if engines lack an official label, with their number and the first of their ids."""
+    missing = missing_final_rul(df, final_rul, engine)
+    found = missing.agg(F.count(F.lit(1)).alias("n"), F.min(engine).alias("first")).first()
+    if found["n"]:
+        some = [r[0] for r in missing.limit(NAMED_ENGINES).collect()]
+        more = f" and {found['n'] - len(some)} more (missing_final_rul lists all)" if found["n"] > len(some) else ""
+        raise ValueError(f"{found['n']} engines have no official remaining life: {some}{more}")
 
 
 def join_last_cycle(df: DataFrame, profile: KeyProfile | None = None, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:

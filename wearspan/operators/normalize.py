@@ -9,18 +9,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from wearspan.functions.rul import repair_std
+from wearspan.functions.rul import present, repair_std
 from wearspan.schema import REGIME
 
-# Regime statistics up to this many rows are held by the driver and broadcast.
+# A table of regime statistics up to this many rows is broadcast; the size only chooses the join.
 SMALL_TABLE = 10_000
 
 
 def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, variance and repaired sample spread of many columns in one pass (wide form)."""
+    """Count, mean, variance and repaired sample spread of many columns in one pass (wide form).
+
+    Missing values and those that are not numbers are skipped.
+    """
     aggregates = []
     for c in columns:
-        aggregates += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"), F.var_pop(c).alias(f"{c}__var")]
+        v = present(F.col(c))
+        aggregates += [F.count(v).alias(f"{c}__n"), F.avg(v).alias(f"{c}__mean"), F.var_pop(v).alias(f"{c}__var")]
     # The sample spread follows from the population variance; a second aggregate would double the work.
     spreads = {
         f"{c}__std": repair_std(F.sqrt(F.col(f"{c}__var") * F.try_divide(F.col(f"{c}__n"), F.col(f"{c}__n") - 1)))
@@ -60,14 +64,9 @@ def fit_normalization(
         means, stds = _numbers(moments(train, columns).first(), columns)
         return NormalizationStats(tuple(columns), means, stds)
 
-    table = moments(train, columns, [regime])
-    rows = table.limit(SMALL_TABLE + 1).collect()
-    small = len(rows) <= SMALL_TABLE
-    if small:
-        means, stds = _merged(rows, columns)
-        table = train.sparkSession.createDataFrame(rows, table.schema)
-    else:
-        means, stds = _numbers(moments(train, columns).first(), columns)
+    table = moments(train, columns, [regime]).persist()
+    means, stds = _merged(table, columns)
+    small = table.count() <= SMALL_TABLE
     return NormalizationStats(tuple(columns), means, stds, table.drop(*_raw(columns)), small, regime)
 
 
@@ -79,16 +78,21 @@ def _numbers(row: Row, columns: Sequence[str]) -> tuple[dict[str, float], dict[s
     return {c: _number(row[f"{c}__mean"], 0.0) for c in columns}, {c: _number(row[f"{c}__std"], 1.0) for c in columns}
 
 
-def _merged(rows: list[Row], columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
+def _merged(table: DataFrame, columns: Sequence[str]) -> tuple[dict[str, float], dict[str, float]]:
     """Global mean and spread from the regime ones: within-group plus between-group squares."""
-    means, stds = {}, {}
+    sums = [F.sum(F.col(f"{c}__n")).alias(f"{c}__n") for c in columns]
+    sums += [F.sum(F.col(f"{c}__n") * F.col(f"{c}__mean")).alias(f"{c}__sum") for c in columns]
+    totals = table.agg(*sums).first()
+    means = {c: totals[f"{c}__sum"] / totals[f"{c}__n"] if totals[f"{c}__n"] else 0.0 for c in columns}
+    squares = [
+        F.sum(F.col(f"{c}__n") * (F.col(f"{c}__var") + F.pow(F.col(f"{c}__mean") - means[c], 2.0))).alias(c) for c in columns
+    ]
+    spread = table.agg(*squares).first()
+    stds = {}
     for c in columns:
-        groups = [(r[f"{c}__n"], r[f"{c}__mean"], r[f"{c}__var"]) for r in rows if r[f"{c}__n"]]
-        n = sum(size for size, _, _ in groups)
-        mean = sum(size * m for size, m, _ in groups) / n if n else 0.0
-        squares = sum(size * (v + (m - mean) ** 2) for size, m, v in groups)
-        std = math.sqrt(squares / (n - 1)) if n > 1 else 1.0
-        means[c], stds[c] = mean, std if std > 0 else 1.0
+        n = totals[f"{c}__n"] or 0
+        std = math.sqrt(spread[c] / (n - 1)) if n > 1 else 1.0
+        stds[c] = std if std > 0 else 1.0
     return means, stds
 
 

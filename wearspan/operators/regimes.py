@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from wearspan.schema import N_REGIMES, REGIME, SEED, SETTINGS
 
-FEW_POINTS = 10_000
+# The starts are drawn per partition, so their number is the same for every input.
+FIT_PARTITIONS = 8
 PARALLEL_FITS = 5
 
 
@@ -48,19 +49,18 @@ def fit_regimes(
     the sorted centres and do not depend on the start.
     """
     points = train.groupBy(*settings).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    vectors = VectorAssembler(inputCols=list(settings), outputCol="_settings").transform(points).persist()
+    dealt = points.repartition(FIT_PARTITIONS, *settings).sortWithinPartitions(*settings)
+    data = VectorAssembler(inputCols=list(settings), outputCol="_settings").transform(dealt).persist()
 
     def fit(start: int) -> KMeansModel:
         columns = {"featuresCol": "_settings", "predictionCol": "_cluster", "weightCol": "_weight"}
         return KMeans(k=n_regimes, seed=seed + start, **columns).fit(data)
 
     try:
-        # Few distinct points are cheaper to iterate over in one partition.
-        data = vectors.coalesce(1) if vectors.count() <= FEW_POINTS else vectors
         with ThreadPoolExecutor(PARALLEL_FITS) as pool:
             fits = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), range(n_init)))
     finally:
-        vectors.unpersist()
+        data.unpersist()
     best = min(fits, key=lambda m: m.summary.trainingCost)
     centres = [tuple(c) for c in best.clusterCenters()]
     rank = {i: r for r, i in enumerate(sorted(range(len(centres)), key=lambda i: centres[i]))}

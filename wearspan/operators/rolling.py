@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wearspan.functions.rul import present
 from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, split_panel
 from wearspan.schema import CYCLE, ENGINE, ROLLING_WINDOWS, rolling_names
 
@@ -22,6 +23,7 @@ def rolling_columns(panel: Panel, sensors: Sequence[str], windows: Sequence[int]
     """Rolling means then rolling sample spreads, window by window.
 
     Frames may be partial at the start of an engine; a one-row frame has spread 0.
+    Missing values and those that are not numbers are skipped.
     All frames share one partitioning and order, hence one shuffle and one sort.
     """
     lookback(windows)
@@ -29,9 +31,10 @@ def rolling_columns(panel: Panel, sensors: Sequence[str], windows: Sequence[int]
     for n in windows:
         frame = panel.trailing(n)
         means, spreads = rolling_names(sensors, n)
-        out += [F.avg(s).over(frame).alias(name) for s, name in zip(sensors, means)]
+        out += [F.avg(present(F.col(s))).over(frame).alias(name) for s, name in zip(sensors, means)]
         out += [
-            F.coalesce(F.stddev_samp(s).over(frame), F.lit(0.0)).alias(name) for s, name in zip(sensors, spreads)
+            F.coalesce(F.stddev_samp(present(F.col(s))).over(frame), F.lit(0.0)).alias(name)
+            for s, name in zip(sensors, spreads)
         ]
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearspan.sources.catalog import RunCatalog
@@ -23,14 +23,24 @@ class FeatureContractError(ValueError):
     """The input does not have exactly the registered features."""
 
 
-def check_features(given: Sequence[str], contract: Sequence[str]) -> None:
-    """Compare feature names with the contract; missing names are reported before unexpected ones."""
-    missing = [name for name in contract if name not in set(given)]
-    if missing:
-        raise FeatureContractError(f"Missing {len(missing)} required feature(s): {', '.join(missing[:PREVIEW])}")
-    extra = sorted(set(given) - set(contract))
-    if extra:
-        raise FeatureContractError(f"Unexpected feature(s): {', '.join(extra[:PREVIEW])}")
+def contract_problem(given: Column, contract: Sequence[str]) -> Column:
+    """How an array of feature names departs from the contract, or null if it does not."""
+    wanted = F.array(*[F.lit(name) for name in contract]).cast("array<string>")
+
+    def told(label: str, names: Column) -> Column:
+        shown = F.array_join(F.slice(names, 1, PREVIEW), ", ")
+        return F.when(F.size(names) > 0, F.concat(F.lit(f"{label} ("), F.size(names).cast("string"), F.lit("): "), shown))
+
+    lacking, surplus = F.array_except(wanted, given), F.array_sort(F.array_except(given, wanted))
+    return F.nullif(F.concat_ws("; ", told("Missing features", lacking), told("features not registered", surplus)), F.lit(""))
+
+
+def check_features(spark: SparkSession, given: Sequence[str], contract: Sequence[str]) -> None:
+    """Raise if the names are not those of the contract; the same test as for streamed requests."""
+    names = F.array(*[F.lit(name) for name in given]).cast("array<string>")
+    problem = spark.range(1).select(contract_problem(names, contract)).first()[0]
+    if problem:
+        raise FeatureContractError(problem)
 
 
 def check_family(model_name: str) -> None:
@@ -40,7 +50,7 @@ def check_family(model_name: str) -> None:
 
 def apply_contract(df: DataFrame, contract: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Keys, then the registered features in their order as doubles."""
-    check_features([c for c in df.columns if c not in set(keys)], contract)
+    check_features(df.sparkSession, [c for c in df.columns if c not in keys], contract)
     return df.select(*keys, *[F.col(name).cast("double") for name in contract])
 
 

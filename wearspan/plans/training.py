@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -34,6 +36,8 @@ from wearspan.sources.telemetry import PanelTriple, load_subset
 
 # MLlib grows trees at most this deep; it stands for "no limit".
 DEEPEST_TREE = 30
+# Fits of a search that run at the same time.
+PARALLEL_FITS = 3
 
 
 @dataclass(frozen=True)
@@ -153,16 +157,55 @@ FAMILIES: dict[str, tuple[Callable[[dict[str, Any]], Estimator], dict[str, Any],
 }
 
 
+@dataclass(frozen=True)
+class Assembled:
+    """A feature frame as vectors, computed once and shared by all fits on it; use as a context."""
+
+    assembler: VectorAssembler
+    rows: DataFrame
+
+    def __enter__(self) -> Assembled:
+        self.rows.persist()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.rows.unpersist()
+
+    def fit(self, estimator: Estimator, rows: DataFrame | None = None) -> PipelineModel:
+        return PipelineModel([self.assembler, estimator.fit(self.rows if rows is None else rows)])
+
+
+def assemble(train: DataFrame, features: Sequence[str], *marks: str) -> Assembled:
+    """Vectors, labels and the columns that mark rows."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    return Assembled(assembler, assembler.transform(train).select("features", RUL, *marks))
+
+
 def fit_model(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Fit on assembled columns that are computed once; tree fits read them several times."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     marks = "validationIndicatorCol"
     extra = [estimator.getOrDefault(marks)] if estimator.hasParam(marks) and estimator.isSet(marks) else []
-    data = assembler.transform(train).select("features", RUL, *extra).persist()
-    try:
-        return PipelineModel([assembler, estimator.fit(data)])
-    finally:
-        data.unpersist()
+    with assemble(train, features, *extra) as data:
+        return data.fit(estimator)
+
+
+def evaluate_candidates(
+    factory: Callable[[dict[str, Any]], Estimator], data: Assembled, candidates: Sequence[dict[str, Any]]
+) -> list[dict[str, Any]]:
+    """One row per candidate: its hold-out metrics. A few fits run side by side."""
+    fit_rows, valid_rows = data.rows.where(~F.col("is_validation")), data.rows.where("is_validation")
+
+    def evaluate(place: int) -> dict[str, Any]:
+        scored = factory(candidates[place]).fit(fit_rows).transform(valid_rows)
+        return {"ordinal": place, "params": candidates[place], "metrics": metrics_dict(scored)}
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(inheritable_thread_target(data.rows.sparkSession)(evaluate), range(len(candidates))))
+
+
+def winner(log: Sequence[dict[str, Any]]) -> dict[str, Any]:
+    """The parameters of the lowest RMSE, the first of equals."""
+    return min(log, key=lambda row: (row["metrics"]["rmse"], row["ordinal"]))["params"]
 
 
 def grid_search(
@@ -173,26 +216,13 @@ def grid_search(
     percent: int = 20,
     by: str = "row",
 ) -> tuple[dict[str, Any], list[dict[str, Any]]]:
-    """Fit every combination and keep the one with the lowest hold-out RMSE (first on ties).
-
-    The assembled frame is persisted once and shared by all fits.
-    """
-    candidates = expand_grid(grid)
-    if not candidates or not grid:
+    """Evaluate every combination on a hold-out: the best one, and the whole log."""
+    candidates = expand_grid(grid) if grid else []
+    if not candidates:
         raise ValueError("the parameter grid is empty")
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    marked = with_holdout(train, percent, by)
-    data = assembler.transform(marked).select("features", RUL, "is_validation").persist()
-    log = []
-    try:
-        fit_rows, valid_rows = data.where(~F.col("is_validation")), data.where("is_validation")
-        for ordinal, params in enumerate(candidates):
-            scored = factory(params).fit(fit_rows).transform(valid_rows)
-            log.append({"ordinal": ordinal, "params": params, "metrics": metrics_dict(scored)})
-    finally:
-        data.unpersist()
-    best = min(log, key=lambda entry: (entry["metrics"]["rmse"], entry["ordinal"]))
-    return best["params"], log
+    with assemble(with_holdout(train, percent, by), features, "is_validation") as data:
+        log = evaluate_candidates(factory, data, candidates)
+    return winner(log), log
 
 
 def search_log_frame(spark: SparkSession, log: list[dict[str, Any]]) -> DataFrame:
@@ -203,49 +233,56 @@ def search_log_frame(spark: SparkSession, log: list[dict[str, Any]]) -> DataFram
 
 
 @dataclass(frozen=True)
-class TrainedModel:
-    name: str
+class FamilyRun:
+    """A fitted family: the candidates as rows, the one chosen, and its snapshot metrics."""
+
+    family: str
     dataset: str
+    features: tuple[str, ...]
+    candidates: tuple[dict[str, Any], ...]
+    chosen: dict[str, Any]
     model: PipelineModel
-    params: dict[str, Any]
     metrics: dict[str, float]
-    feature_columns: tuple[str, ...]
-    search_log: list[dict[str, Any]] = field(default_factory=list)
     version: str | None = None
 
 
-def train_model(
-    family: str,
+def register(catalog: RunCatalog, run: FamilyRun) -> FamilyRun:
+    """Store a run: the same run with its version."""
+    saved = catalog.save(
+        run.model,
+        run.family,
+        run.dataset,
+        run.metrics,
+        {"chosen": run.chosen, "candidates": list(run.candidates)},
+        run.features,
+        f"{run.family} on engineered features, one row per cycle",
+    )
+    return replace(run, version=saved["version"])
+
+
+def fit_families(
     dataset: str,
     data: TrainingData,
-    params: dict[str, Any] | None = None,
-    grid: dict[str, Sequence[Any]] | None = None,
+    families: Sequence[str] = tuple(FAMILIES),
+    overrides: dict[str, dict[str, Any]] | None = None,
     tune: bool = True,
-    catalog: RunCatalog | None = None,
-) -> TrainedModel:
-    """Tune, fit on all training cycles, score the last cycle of each test engine, register."""
-    factory, defaults, default_grid = FAMILIES[family]
-    chosen = {**defaults, **(params or {})}
-    log: list[dict[str, Any]] = []
-    if tune:
-        best, log = grid_search(
-            lambda candidate: factory({**chosen, **candidate}), data.train_features, data.feature_columns, grid or default_grid
-        )
-        chosen.update(best)
-    model = fit_model(factory(chosen), data.train_features, data.feature_columns)
-    metrics = metrics_dict(model.transform(data.test_snapshot))
-    version = None
-    if catalog is not None:
-        version = catalog.save(
-            model,
-            family,
-            dataset,
-            metrics,
-            {"final": chosen, "search": log},
-            list(data.feature_columns),
-            f"{family} on engineered features, one row per cycle",
-        )["version"]
-    return TrainedModel(family, dataset, model, chosen, metrics, data.feature_columns, log, version)
+) -> list[FamilyRun]:
+    """Fit families on one assembled frame: candidates on its hold-out, then the best on all its rows.
+
+    Without tuning the only candidate is the family's defaults with the overrides.
+    """
+    snapshot, runs = data.test_snapshot, []
+    with assemble(with_holdout(data.train_features), data.feature_columns, "is_validation") as shared:
+        for family in families:
+            factory, defaults, grid = FAMILIES[family]
+            base = defaults | (overrides or {}).get(family, {})
+            points = [base | point for point in expand_grid(grid)] if tune else [base]
+            log = evaluate_candidates(factory, shared, points) if tune else []
+            best = winner(log) if tune else base
+            model = shared.fit(factory(best))
+            metrics = metrics_dict(model.transform(snapshot))
+            runs.append(FamilyRun(family, dataset, data.feature_columns, tuple(log), best, model, metrics))
+    return runs
 
 
 def train_all(
@@ -255,15 +292,9 @@ def train_all(
     results_path: str | None = None,
     tune: bool = True,
     params: dict[str, dict[str, Any]] | None = None,
-) -> list[TrainedModel]:
-    """Train every tabular family on one feature frame, computed once and shared."""
-    shared = data.train_features.persist()
-    try:
-        results = [
-            train_model(family, dataset, data, (params or {}).get(family), None, tune, catalog) for family in FAMILIES
-        ]
-    finally:
-        shared.unpersist()
+) -> list[FamilyRun]:
+    """Fit every tabular family, register the runs and append them to the results table."""
+    runs = [register(catalog, run) for run in fit_families(dataset, data, tuple(FAMILIES), params, tune)]
     if results_path:
-        catalog.append_results(results_path, [(r.name, r.dataset, r.metrics, r.version) for r in results])
-    return results
+        catalog.append_results(results_path, [(r.family, r.dataset, r.metrics, r.version) for r in runs])
+    return runs

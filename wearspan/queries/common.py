@@ -47,8 +47,10 @@ def split_panels(spark: SparkSession, folder: str) -> SplitPanels:
     panel = split_panel(source.rows, 0, source.profile)
     whole = panel.select(*panel.columns, panel.last_cycle.alias("_end")).frame()
     train = whole.where(~is_test()).drop("_end")
-    cut = attach(whole.where(is_test()), final, ENGINE, "inner", source.profile)
-    test = cut.where(F.col(CYCLE) <= F.col("_end") - F.col("final_rul")).drop("_end", "final_rul")
+    cut = attach(whole.where(is_test()), final, ENGINE, "left", source.profile)
+    lacking = F.raise_error(F.concat(F.lit("no official remaining life for engine "), F.col(ENGINE).cast("string")))
+    life = F.coalesce(F.col("final_rul").cast("int"), lacking.cast("int"))
+    test = cut.where(F.col(CYCLE) <= F.col("_end") - life).drop("_end", "final_rul")
     test_profile = source.profile
     if test_profile.heavy is not None:
         ends = test_profile.heavy.join(final, ENGINE).withColumn("_last", F.col("_last") - F.col("final_rul"))

@@ -43,15 +43,18 @@ TWO = ["s_2", "s_4"]
 
 # Least squares of rul on s_2 and s_4 over the train rows.
 OLS = """
-moments AS (
+moments AS MATERIALIZED (
   SELECT avg(s_2) AS m1, avg(s_4) AS m2, avg(rul) AS my, var_pop(s_2) AS v1, var_pop(s_4) AS v2,
          covar_pop(s_2, s_4) AS c12, covar_pop(s_2, rul) AS c1y, covar_pop(s_4, rul) AS c2y
   FROM split_panel WHERE split = 'train'),
-ols AS (
+ols AS MATERIALIZED (
   SELECT *, (c1y * v2 - c2y * c12) / (v1 * v2 - c12 * c12) AS b1, (c2y * v1 - c1y * c12) / (v1 * v2 - c12 * c12) AS b2
   FROM moments),
-fitted AS (
-  SELECT s.*, o.*, my + b1 * (s_2 - m1) + b2 * (s_4 - m2) AS prediction FROM split_panel s CROSS JOIN ols o)"""
+placed AS MATERIALIZED (
+  SELECT *, (SELECT m1 FROM ols) AS m1, (SELECT m2 FROM ols) AS m2, (SELECT my FROM ols) AS my,
+         (SELECT b1 FROM ols) AS b1, (SELECT b2 FROM ols) AS b2
+  FROM split_panel),
+fitted AS MATERIALIZED (SELECT *, my + b1 * (s_2 - m1) + b2 * (s_4 - m2) AS prediction FROM placed)"""
 LINEAR = SPLIT + "," + OLS
 
 
@@ -198,10 +201,10 @@ def attribution_topk(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {LINEAR}, {ATTRIBUTIONS},
 daily AS (SELECT split, observed_on, 's_2' AS feature, 0 AS ordinal, my, avg(b1 * (s_2 - m1)) AS value FROM fitted GROUP BY ALL
   UNION ALL SELECT split, observed_on, 's_4', 1, my, avg(b2 * (s_4 - m2)) FROM fitted GROUP BY ALL),
-placed AS (SELECT *, row_number() OVER (PARTITION BY split, observed_on ORDER BY abs(value) DESC, ordinal DESC) AS rank FROM daily)
+daily_ranked AS (SELECT *, row_number() OVER (PARTITION BY split, observed_on ORDER BY abs(value) DESC, ordinal DESC) AS rank FROM daily)
 SELECT split, CAST(observed_on AS VARCHAR) AS observed_on, feature, CAST(rank AS INTEGER) AS rank, round(value, 6) AS value,
   round(my + sum(value) OVER (PARTITION BY split, observed_on ORDER BY rank), 5) AS running
-FROM placed"""
+FROM daily_ranked"""
 )
 def daily_attribution(spark: SparkSession, folder: str) -> DataFrame:
     """Mean contributions per day, ranked and built up from the base value."""

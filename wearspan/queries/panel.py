@@ -114,7 +114,7 @@ def _round_sql(columns: list[str], digits: int) -> str:
 ROLLED = rolling_column_names(TELEMETRY_ACTIVE, (5, 10))
 ROLLED_MEANS = [c for c in ROLLED if c.endswith("_mean")]
 ROLLED_STDS = [c for c in ROLLED if c.endswith("_std")]
-ROLLED_SQL = f"rolled AS (SELECT *, {_rolling_sql(TELEMETRY_ACTIVE, (5, 10))} FROM labelled)"
+ROLLED_SQL = f"rolled AS MATERIALIZED (SELECT *, {_rolling_sql(TELEMETRY_ACTIVE, (5, 10))} FROM labelled)"
 
 
 @query(
@@ -152,11 +152,29 @@ def bucketed_rolling(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rounded(rolled.select(*KEYS, *ROLLED), ROLLED_MEANS, 6), ROLLED_STDS, 4)
 
 
+def _digits(column: str) -> int:
+    """Decimals of a statistic: past those of an exact mean for small values, few for large ones, so that none is a tie."""
+    return {"s_4": 10, "s_7": 10, "s_3": 4}.get(column[:3], 8)
+
+
+def _round_stats(stats: DataFrame) -> DataFrame:
+    digits = F.when(F.col("column").rlike("^s_[47]"), "small").when(F.col("column").startswith("s_3"), "large").otherwise("other")
+    by_size = {"small": 10, "large": 4, "other": 8}
+
+    def rounded_column(c: str):
+        out = None
+        for size, n in by_size.items():
+            out = F.when(digits == size, F.round(c, n)) if out is None else out.when(digits == size, F.round(c, n))
+        return out
+
+    return stats.withColumns({c: rounded_column(c) for c in ("mean", "std")})
+
+
 def _stats_sql(columns: list[str], source: str, by: str = "") -> str:
     select = "regime AS operating_regime, " if by else ""
     return "\nUNION ALL\n".join(
-        f"SELECT {select}'{c}' AS \"column\", round(avg({c}), 6) AS mean, "
-        f"round(CASE WHEN coalesce(stddev_samp({c}), 0) = 0 THEN 1.0 ELSE stddev_samp({c}) END, 6) AS std FROM {source} {by}"
+        f"SELECT {select}'{c}' AS \"column\", round(avg({c}), {_digits(c)}) AS mean, "
+        f"round(CASE WHEN coalesce(stddev_samp({c}), 0) = 0 THEN 1.0 ELSE stddev_samp({c}) END, {_digits(c)}) AS std FROM {source} {by}"
         for c in columns
     )
 
@@ -166,29 +184,34 @@ def norm_stats_global(spark: SparkSession, folder: str) -> DataFrame:
     source = telemetry(spark, folder)
     columns = TELEMETRY_SENSORS + ROLLED
     rolled = add_rolling(source.rows, TELEMETRY_ACTIVE, (5, 10), source.profile)
-    return rounded(long_moments(moments(rolled, columns), columns), ["mean", "std"], 6)
+    return _round_stats(long_moments(moments(rolled, columns), columns))
 
 
 @query(f"WITH {TELEMETRY}\n{_stats_sql(TELEMETRY_SENSORS, 'labelled', 'GROUP BY regime')}")
 def norm_stats_regime(spark: SparkSession, folder: str) -> DataFrame:
     rows = telemetry(spark, folder).rows.withColumn(REGIME, regime_of())
     wide = moments(rows, TELEMETRY_SENSORS, [REGIME])
-    return rounded(long_moments(wide, TELEMETRY_SENSORS, [REGIME]), ["mean", "std"], 6)
+    return _round_stats(long_moments(wide, TELEMETRY_SENSORS, [REGIME]))
 
 
 def _z(c: str, mean: str, std: str) -> str:
     return f"({c} - {mean}) / (CASE WHEN coalesce({std}, 0) = 0 THEN 1.0 ELSE {std} END)"
 
 
+def _one(column: str) -> str:
+    """A value of the one-row fit."""
+    return f"(SELECT {column} FROM fitted)"
+
+
 def _fit_sql(columns: list[str], source: str, name: str, by: str = "") -> str:
     cells = ", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_d" for c in columns)
-    return f"{name} AS (SELECT {by + ', ' if by else ''}{cells} FROM {source}{' GROUP BY ' + by if by else ''})"
+    return f"{name} AS MATERIALIZED (SELECT {by + ', ' if by else ''}{cells} FROM {source}{' GROUP BY ' + by if by else ''})"
 
 
 @query(
     f"""WITH {TELEMETRY}, {_fit_sql(TELEMETRY_SENSORS, "labelled WHERE engine_id % 5 <> 0", "fitted")}
-SELECT engine_id, "cycle", {", ".join(f"round({_z(c, c + '_m', c + '_d')}, 6) AS {c}" for c in TELEMETRY_SENSORS)}
-FROM labelled CROSS JOIN fitted"""
+SELECT engine_id, "cycle", {", ".join(f"round({_z(c, _one(c + '_m'), _one(c + '_d'))}, 6) AS {c}" for c in TELEMETRY_SENSORS)}
+FROM labelled"""
 )
 def normalize_global(spark: SparkSession, folder: str) -> DataFrame:
     """Scaling fitted on the train engines, applied to all engines."""
@@ -222,14 +245,14 @@ def normalize_regime_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 FEATURES = [*SETTINGS, *TELEMETRY_ACTIVE, *ROLLED]
 SCALED = [*TELEMETRY_ACTIVE, *ROLLED]
-SPLIT_ROLLED = SPLIT + f", rolled AS (SELECT *, {_rolling_sql(TELEMETRY_ACTIVE, (5, 10))} FROM split_panel)"
+SPLIT_ROLLED = SPLIT + f", rolled AS MATERIALIZED (SELECT *, {_rolling_sql(TELEMETRY_ACTIVE, (5, 10))} FROM split_panel)"
 
 
 @query(
     f"""WITH {SPLIT_ROLLED}, {_fit_sql(SCALED, "rolled WHERE split = 'train'", "fitted")}
 SELECT split, engine_id, "cycle", setting_1, setting_2, setting_3,
-  {", ".join(f"round({_z(c, c + '_m', c + '_d')}, 5) AS {c}" for c in SCALED)}, rul
-FROM rolled CROSS JOIN fitted"""
+  {", ".join(f"round({_z(c, _one(c + '_m'), _one(c + '_d'))}, 5) AS {c}" for c in SCALED)}, rul
+FROM rolled"""
 )
 def build_features_global(spark: SparkSession, folder: str) -> DataFrame:
     panels = split_panels(spark, folder)

@@ -28,7 +28,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 # --- shared SQL ---------------------------------------------------------------
 
 TELEMETRY = """
-telemetry AS (
+telemetry AS MATERIALIZED (
   SELECT CAST(l_suppkey AS INTEGER) AS engine_id,
          CAST(row_number() OVER (PARTITION BY l_suppkey
               ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS INTEGER) AS "cycle",
@@ -38,7 +38,7 @@ telemetry AS (
          l_quantity AS s_2, l_extendedprice AS s_3, l_discount AS s_4, l_tax AS s_7,
          CAST(l_shipdate AS DATE) AS observed_on
   FROM lineitem),
-labelled AS (
+labelled AS MATERIALIZED (
   SELECT *, max("cycle") OVER (PARTITION BY engine_id) AS last_cycle,
          CAST(least(max("cycle") OVER (PARTITION BY engine_id) - "cycle", 125) AS INTEGER) AS rul,
          CAST(setting_1 * 2 + setting_2 AS INTEGER) AS regime
@@ -58,7 +58,7 @@ labelled_events AS (
 """
 
 FINAL_RUL = """
-final_rul AS (
+final_rul AS MATERIALIZED (
   SELECT CAST(s_suppkey AS INTEGER) AS engine_id, CAST(20 + s_suppkey % 100 AS INTEGER) AS final_rul
   FROM supplier)
 """
@@ -70,7 +70,7 @@ SPLIT = (
     + ","
     + FINAL_RUL
     + """,
-split_panel AS (
+split_panel AS MATERIALIZED (
   SELECT l.*, 'train' AS split FROM labelled l WHERE engine_id % 5 <> 0
   UNION ALL
   SELECT l.*, 'test' AS split

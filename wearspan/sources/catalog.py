@@ -110,31 +110,36 @@ class RunCatalog:
 
         ``model=None`` records the metadata alone (models kept elsewhere).
         """
-        created = datetime.now(timezone.utc)
-        home = self._home(model_name, dataset, created)
-        while self.exists(home):
-            created += timedelta(seconds=1)
-            home = self._home(model_name, dataset, created)
-        artifact = f"{home}/model"
+        place, created = self._claim(model_name, dataset)
         if model is not None:
-            model.write().overwrite().save(artifact)
-        record = {
-            "model_name": model_name,
-            "version": created.strftime(VERSION_FORMAT),
+            model.write().overwrite().save(f"{place}/model")
+        values = {
+            "artifact_path": f"{place}/model",
+            "created_at": created.isoformat(timespec="microseconds"),
             "dataset": dataset,
-            "artifact_path": artifact,
-            "metadata_path": f"{home}/metadata.json",
+            "description": description,
+            "feature_columns": [*feature_columns],
+            "input_size": input_size,
+            "metadata_path": f"{place}/metadata.json",
             "metrics": metrics,
+            "model_name": model_name,
             "params": params,
-            "feature_columns": list(feature_columns),
-            "created_at": created.isoformat(timespec="microseconds"),
-            "description": description,
+            "version": place.rpartition("/")[2],
         }
-        if input_size is not None:
-            record["input_size"] = input_size
-        self._write_text(record["metadata_path"], json.dumps(record, indent=2, sort_keys=True))
+        record = {f.name: values[f.name] for f in RUN_RECORD if values.get(f.name) is not None}
+        self._write_text(record["metadata_path"], json.dumps(record, sort_keys=True))
         return record
 
+    def _claim(self, model_name: str, dataset: str) -> tuple[str, datetime]:
+        """A version folder that no other saver has: the first second from now whose mark can be created."""
+        created = datetime.now(timezone.utc)
+        while True:
+            place = self._home(model_name, dataset, created)
+            fs, mark = self._fs(f"{place}/_claimed")
+            if not fs.exists(mark) and fs.createNewFile(mark):
+                return place, created
+            created += timedelta(seconds=1)
+
     def _home(self, model_name: str, dataset: str, created: datetime) -> str:
         return f"{self.root.rstrip('/')}/{model_name}/{dataset}/{created.strftime(VERSION_FORMAT)}"
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wearspan.functions.rul import present
 from wearspan.operators.skew import with_position
 from wearspan.schema import ENGINE, SUBSETS, TELEMETRY
 
@@ -30,12 +31,12 @@ def read_sensor_log(spark: SparkSession, path: str | list[str], schema: T.Struct
     """Read header-less, whitespace-separated rows: engine, cycle, settings, sensors.
 
     Any run of blanks separates fields, blank lines are skipped, missing trailing
-    fields are null. A missing path is Spark's path-not-found error.
+    fields are null, and so is NaN. A missing path is Spark's path-not-found error.
     """
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(_fields().alias("_f"))
 
     def column(i: int, field: T.StructField):
-        number = F.get("_f", F.lit(i)).cast("double")
+        number = present(F.get("_f", F.lit(i)).cast("double"))
         return number.cast(field.dataType).alias(field.name)
 
     return lines.select(*[column(i, f) for i, f in enumerate(schema.fields)])

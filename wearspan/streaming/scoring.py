@@ -7,38 +7,24 @@ others leave with the reason instead of a prediction, so none is lost.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wearspan.plans.scoring import PREVIEW, check_family, contract_from_map
+from wearspan.plans.scoring import check_family, contract_from_map, contract_problem
 from wearspan.sources.catalog import RunCatalog
 
 REQUEST = "request_id string, features map<string,double>"
 
 
-def contract_problem(contract: list[str], column: str = "features") -> Column:
-    """Why a request breaks the feature contract, or null."""
-    wanted = F.array(*[F.lit(name) for name in contract])
-    given = F.map_keys(column)
-    missing = F.array_except(wanted, given)
-    extra = F.array_sort(F.array_except(given, wanted))
-    return (
-        F.when(F.col(column).isNull(), F.lit("the request has no features"))
-        .when(
-            F.size(missing) > 0,
-            F.concat(
-                F.lit("Missing "), F.size(missing).cast("string"), F.lit(" required feature(s): "),
-                F.array_join(F.slice(missing, 1, PREVIEW), ", "),
-            ),
-        )
-        .when(F.size(extra) > 0, F.concat(F.lit("Unexpected feature(s): "), F.array_join(F.slice(extra, 1, PREVIEW), ", ")))
-    )
-
-
 def score_requests(requests: DataFrame, model: PipelineModel, contract: list[str]) -> DataFrame:
     """Stateless, so it serves batch and streaming frames alike."""
-    checked = requests.withColumn("error", contract_problem(contract))
+    checked = requests.withColumn(
+        "error",
+        F.when(F.col("features").isNull(), "the request has no features").otherwise(
+            contract_problem(F.map_keys("features"), contract)
+        ),
+    )
     columns = contract_from_map(checked, contract, keys=["request_id", "error"])
     filled = columns.na.fill(0.0, contract)
     scored = model.transform(filled)
