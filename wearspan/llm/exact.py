@@ -110,13 +110,12 @@ def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The documents, with all their columns, whose text is new to the index; one of equals stays."""
-    names = docs.columns
     rows = digests(docs)
     batch = groups(rows).hint("merge").join(index.rows().select("digest"), "digest", "left_anti")
     batch = settled(batch, "groups")
     index.append(batch.select("digest", "keep_id", "keep_chars"))
     text = text_of(docs)
-    mine = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), digest(text).alias("digest"), F.char_length(text).alias("chars"))
+    mine = docs.select(F.struct("*").alias("doc"), digest(text).alias("digest"), F.char_length(text).alias("chars"))
     same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
     winners = batch.select("digest", "keep_id", "keep_chars")
     return mine.join(winners, "digest").where(same).dropDuplicates(["digest"]).select("doc.*")

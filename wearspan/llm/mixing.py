@@ -111,7 +111,7 @@ def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     Texts stay whole here: the document taken in part counts if half of it or more is taken.
     """
     measured = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["source"].alias("source"), word_count(text_of(docs)).alias("size"), _hash(docs, seed).alias("h")
+        F.struct("*").alias("doc"), docs["source"].alias("source"), word_count(text_of(docs)).alias("size"), _hash(docs, seed).alias("h")
     )
     cut = _cut(settled(measured.select("source", "size", "h"), "sizes"), weights, cap, percent)
     taken = _take(measured, cut)

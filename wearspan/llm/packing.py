@@ -75,7 +75,7 @@ class WordEncoder:
     def _parted(word: str) -> tuple[str, str]:
         """Latin letters and the full stops or commas after them are separate for the tokenizer; other words stay whole."""
         base = word.rstrip(".,")
-        if base.isalpha() and max(base) < "ɐ":
+        if base.isalpha() and max(base) < "ɐ" and base.lower().isalpha():
             return base.lower() if base.isascii() else base, word[len(base) :]
         return word, ""
 
