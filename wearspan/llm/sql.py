@@ -212,9 +212,12 @@ FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 PARSING = f"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n_bytes FROM documents),
+b AS MATERIALIZED (  -- stretches of 200 starts, as slicing takes time in proportion to the string
+  SELECT doc_id, n_bytes, b, x[2 * b + 1:2 * b + {2 * (200 + parsing.MIN_BYTES)}] AS x
+  FROM d, unnest(range(0, n_bytes - {parsing.MIN_BYTES - 1}, 200)) AS u(b) WHERE n_bytes >= {parsing.MIN_BYTES}),
 p AS MATERIALIZED (
-  SELECT doc_id, i, md5(x[2 * i + 1:2 * i + {2 * parsing.MIN_BYTES}]) AS h
-  FROM d, unnest(range(0, n_bytes - {parsing.MIN_BYTES - 1})) AS u(i) WHERE n_bytes >= {parsing.MIN_BYTES}),
+  SELECT doc_id, i, md5(x[2 * (i - b) + 1:2 * (i - b) + {2 * parsing.MIN_BYTES}]) AS h
+  FROM b, unnest(range(b, least(b + 200, n_bytes - {parsing.MIN_BYTES - 1}))) AS u(i)),
 r AS MATERIALIZED (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM p) WHERE c > 1),
 g AS MATERIALIZED (
   SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {parsing.MIN_BYTES}, true) AS opens FROM r),
