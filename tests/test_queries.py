@@ -4,13 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
+from wearspan.queries.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# Slow fits are left to check_queries.py.
-SLOW = {
-    "rf_score", "gbt_score", "gbt_early_stopping", "rf_importance", "grid_search_log", "kmeans_regimes", "clustered_features",
-    "train_and_register",
-}
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +16,9 @@ def tables():
 
 def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not any(name.startswith("op") or "pipeline" in name for name in entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, tables, name):
     good, note = compare(spark, tables, name, FOLDER)
     assert good, note

@@ -88,16 +88,16 @@ def linear_attribution(df: DataFrame, fit: LinearFit, keys: Sequence[str]) -> Da
     sample's features are ranked inside its row, so no data is shuffled.
     """
     ranked = df.select(*keys, _ranked_parts(fit).alias("_parts"))
-    steps = ranked.select(*keys, "_parts", F.posexplode("_parts").alias("_at", "_part"))
-    so_far = F.slice(F.col("_parts.value"), F.lit(1), F.col("_at") + 1)
-    return steps.select(
-        *keys,
-        F.col("_part.ordinal").alias("ordinal"),
-        F.col("_part.feature").alias("feature"),
-        F.col("_part.value").alias("value"),
-        (F.col("_at") + 1).alias("rank"),
-        F.aggregate(so_far, F.lit(fit.base), lambda acc, v: acc + v).alias("running"),
-    )
+    none = F.array().cast("array<struct<ordinal:int,feature:string,value:double,rank:int,running:double>>")
+
+    def step(state: Column, part: Column) -> Column:
+        total = state["total"] + part["value"]
+        place = (F.size(state["rows"]) + 1).alias("rank")
+        row = F.struct(part["ordinal"], part["feature"], part["value"], place, total.alias("running"))
+        return F.struct(total.alias("total"), F.concat(state["rows"], F.array(row)).alias("rows"))
+
+    built = F.aggregate("_parts", F.struct(F.lit(fit.base).alias("total"), none.alias("rows")), step, lambda s: s["rows"])
+    return ranked.select(*keys, F.inline(built))
 
 
 def fit_window_linear(windows: DataFrame, size: int, features: Sequence[str], target: str = "target") -> LinearFit:

@@ -26,7 +26,7 @@ def row_hash(modulus: int, engine: str = ENGINE, cycle: str | None = CYCLE) -> C
     return F.pmod(mixed, F.lit(modulus))
 
 
-def scrambled_hash(engine: str = ENGINE, cycle: str = CYCLE) -> Column:
+def scrambled_hash(engine: str = ENGINE, cycle: str | None = CYCLE) -> Column:
     """The row hash squared, so that rows next to each other in it are unrelated."""
     h = row_hash(FINE, engine, cycle)
     return F.pmod(h * h, F.lit(FINE))
@@ -40,8 +40,8 @@ def with_holdout(df: DataFrame, percent: int = 20, by: str = "row", engine: str
     """
     if by not in ("row", "engine"):
         raise ValueError("split by 'row' or by 'engine'")
-    h = row_hash(PERCENT, engine, cycle if by == "row" else None)
-    return df.withColumn("is_validation", h < percent)
+    h = scrambled_hash(engine, cycle if by == "row" else None)
+    return df.withColumn("is_validation", h % PERCENT < percent)
 
 
 def exact_holdout(df: DataFrame, fraction: float = 0.2, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:

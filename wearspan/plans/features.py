@@ -106,6 +106,11 @@ def engineer(
     )
 
 
+def of_engines(df: DataFrame, engines: DataFrame) -> DataFrame:
+    """Rows of the engines listed in a table with an engine column."""
+    return df.join(engines.select(ENGINE), ENGINE, "left_semi")
+
+
 def select_features(df: DataFrame, features: Sequence[str], target: str = RUL) -> DataFrame:
     """Keys, model features in order, and the target."""
     return df.select(ENGINE, CYCLE, *features, target)

@@ -14,7 +14,7 @@ from wearspan.functions.rul import nasa_term, version_of
 from wearspan.operators.metrics import early_stopping, evaluate, metric_columns, mse, ranked_leaderboard, weighted_mean
 from wearspan.operators.splits import background_sample, exact_holdout, expand_grid, grid_frame, with_holdout
 from wearspan.queries.common import labelled, round_metrics, rounded, split_panels
-from wearspan.queries.registry import LIFE, SPLIT, TELEMETRY, query, sql_metrics
+from wearspan.queries.registry import ROW_KEY, LIFE, SPLIT, TELEMETRY, query, sql_metrics, sql_percentile
 from wearspan.schema import CYCLE, ENGINE, REGIME, RUL
 from wearspan.sources.catalog import best_runs, coverage, latest_runs, list_runs, result_rows
 from wearspan.sources.tables import regime_of, table
@@ -239,14 +239,14 @@ def leaderboard_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {TELEMETRY}
-SELECT engine_id, "cycle", (CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729) % 100 < 20 AS is_validation FROM telemetry"""
+SELECT engine_id, "cycle", {sql_percentile(ROW_KEY)} < 20 AS is_validation FROM telemetry"""
 )
 def holdout_split(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = labelled(spark, folder)
     return with_holdout(rows, 20).select(*KEYS, "is_validation")
 
 
-@query(f"""WITH {TELEMETRY} SELECT engine_id, "cycle", (CAST(engine_id AS BIGINT) * 7919) % 100 < 20 AS is_validation FROM telemetry""")
+@query(f"""WITH {TELEMETRY} SELECT engine_id, "cycle", {sql_percentile("CAST(engine_id AS BIGINT) * 7919")} < 20 AS is_validation FROM telemetry""")
 def holdout_split_by_engine(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = labelled(spark, folder)
     return with_holdout(rows, 20, "engine").select(*KEYS, "is_validation")
@@ -303,7 +303,7 @@ grid(ordinal, cap, shift) AS (VALUES {", ".join(f"({i}, {c['cap']}, {c['shift']}
 tried AS (
   SELECT ordinal, cap, shift, rul, CAST(least(cap, greatest(0, mean_life + shift - "cycle")) AS DOUBLE) AS guess
   FROM scored CROSS JOIN grid
-  WHERE split = 'train' AND (CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729) % 100 < 20),
+  WHERE split = 'train' AND {sql_percentile(ROW_KEY)} < 20),
 log AS (SELECT ordinal, cap, shift, count(*) AS n, {sql_metrics("rul", "guess")} FROM tried GROUP BY ALL)
 SELECT *, row_number() OVER (ORDER BY rmse, ordinal) = 1 AS is_best FROM log"""
 )

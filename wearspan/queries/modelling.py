@@ -1,23 +1,25 @@
 """Queries on regimes, models, attributions, the run catalogue and file round trips.
 
 Least squares on two sensors has a closed form, so everything built on it can be
-checked in SQL. Tree models have none and are checked by rows only.
+checked in SQL. Tree and window models have none: their queries return the exact keys and
+labels together with properties that every right fit has (see ``SNAPSHOT``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearspan.operators import attribution as at
 from wearspan.operators.metrics import metrics_dict
 from wearspan.operators.regimes import fit_regimes
+from wearspan.operators.rolling import rolling_column_names
 from wearspan.operators.sequences import last_cycle_snapshot, last_windows, make_windows
 from wearspan.operators.skew import attach
 from wearspan.operators.splits import with_holdout
 from wearspan.plans.features import FeatureConfig, FeatureSet, build_features
-from wearspan.plans.scoring import score
+from wearspan.plans.scoring import contract_problem, score
 from wearspan.plans.training import (
     boosted_trees,
     fit_model,
@@ -88,7 +90,18 @@ def clustered_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(both.select("split", *KEYS, REGIME, "s_2", RUL), ["s_2"], 5)
 
 
-# --- tree models and searches (no SQL twin) -----------------------------------
+# --- tree models and searches -------------------------------------------------
+
+# Last cycle of each test engine; a right fit predicts a finite number for each of them, and
+# trees that average labels stay inside the range of the train labels.
+SNAPSHOT = f"""WITH {SPLIT}
+SELECT engine_id, max("cycle") AS "cycle", CAST(arg_max(rul, "cycle") AS INTEGER) AS rul, true AS {{0}}
+FROM split_panel WHERE split = 'test' GROUP BY engine_id"""
+FEATURE_NAMES = ["setting_1", "setting_2", "setting_3", "s_2", "s_3", "s_4", "s_7", *rolling_column_names(["s_2", "s_3", "s_4", "s_7"], (5, 10))]
+
+
+def _finite(value: str):
+    return F.coalesce(F.abs(value) < float("inf"), F.lit(False))
 
 
 def _features(spark: SparkSession, folder: str) -> tuple[SplitPanels, FeatureSet, list[str]]:
@@ -108,43 +121,60 @@ FOREST = {"n_estimators": 20, "max_depth": 6, "min_samples_leaf": 2, "max_featur
 BOOSTED = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.9, "colsample": 0.9, "seed": SEED}
 
 
-@query()
+@query(SNAPSHOT.format("in_label_range"))
 def rf_score(spark: SparkSession, folder: str) -> DataFrame:
     """Random forest on all train cycles, scored on the last cycle of each test engine."""
     _, made, columns = _features(spark, folder)
-    return _score_snapshot(made, columns, random_forest(FOREST))
+    scored = _score_snapshot(made, columns, random_forest(FOREST))
+    low, high = made.train.agg(F.min(RUL), F.max(RUL)).first()
+    return scored.select(ENGINE, CYCLE, RUL, F.col("prediction").between(low, high).alias("in_label_range"))
 
 
-@query()
+@query(SNAPSHOT.format("finite"))
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
     _, made, columns = _features(spark, folder)
-    return _score_snapshot(made, columns, boosted_trees(BOOSTED))
+    return _score_snapshot(made, columns, boosted_trees(BOOSTED)).select(ENGINE, CYCLE, RUL, _finite("prediction").alias("finite"))
 
 
-@query()
+@query(SNAPSHOT.format("finite"))
 def gbt_early_stopping(spark: SparkSession, folder: str) -> DataFrame:
     """Boosting that stops when the hold-out loss no longer falls."""
     _, made, columns = _features(spark, folder)
     train = with_holdout(made.train, 20, "engine")
-    return _score_snapshot(made, columns, boosted_trees({**BOOSTED, "validation_column": "is_validation"}), train)
+    scored = _score_snapshot(made, columns, boosted_trees({**BOOSTED, "validation_column": "is_validation"}), train)
+    return scored.select(ENGINE, CYCLE, RUL, _finite("prediction").alias("finite"))
 
 
-@query()
+@query(f"SELECT unnest({FEATURE_NAMES}) AS feature, true AS is_share, true AS shares_sum_to_one")
 def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Global importance of a forest's features."""
     _, made, columns = _features(spark, folder)
     model = fit_model(random_forest(FOREST), made.train, columns)
     values = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame([(c, float(v)) for c, v in zip(columns, values)], "feature string, importance double")
+    whole = bool(abs(sum(values) - 1) < 1e-9)
+    rows = [(c, bool(0 <= v <= 1), whole) for c, v in zip(columns, values)]
+    return spark.createDataFrame(rows, "feature string, is_share boolean, shares_sum_to_one boolean")
 
 
-@query()
+@query(
+    """SELECT CAST(2 * (t // 10) + d // 5 AS INTEGER) AS ordinal, CAST(t AS VARCHAR) AS n_estimators, CAST(d AS VARCHAR) AS max_depth,
+  true AS metrics_agree, true AS one_is_best
+FROM (VALUES (5), (10)) AS a(t), (VALUES (3), (5)) AS b(d)"""
+)
 def grid_search_log(spark: SparkSession, folder: str) -> DataFrame:
     """Hold-out grid search of a forest: one row per combination."""
     _, made, columns = _features(spark, folder)
     grid = {"n_estimators": [5, 10], "max_depth": [3, 5]}
-    _, log = grid_search(lambda p: random_forest({**FOREST, **p}), made.train, columns, grid)
-    return search_log_frame(spark, log)
+    best, log = grid_search(lambda p: random_forest({**FOREST, **p}), made.train, columns, grid)
+    least = min(e["metrics"]["rmse"] for e in log)
+    right = next(e["metrics"]["rmse"] for e in log if e["params"] == best) == least
+    return search_log_frame(spark, log).select(
+        "ordinal",
+        F.col("params")["n_estimators"].alias("n_estimators"),
+        F.col("params")["max_depth"].alias("max_depth"),
+        ((F.col("mae") > 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("metrics_agree"),
+        F.lit(right).alias("one_is_best"),
+    )
 
 
 # --- linear models ------------------------------------------------------------
@@ -289,6 +319,13 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 # --- sequence models ----------------------------------------------------------
 
 
+WINDOWS = f"""WITH {SPLIT},
+ends AS MATERIALIZED (
+  SELECT engine_id, max("cycle") AS end_cycle, CAST(arg_max(rul, "cycle") AS DOUBLE) AS target
+  FROM split_panel WHERE split = 'test' GROUP BY engine_id HAVING count(*) >= 5)
+"""
+
+
 def _window_model(spark: SparkSession, folder: str) -> tuple[SplitPanels, at.LinearFit, DataFrame]:
     panels = split_panels(spark, folder)
     train = make_windows(panels.train, TWO, RUL, 5, 1, panels.train_profile)
@@ -296,25 +333,43 @@ def _window_model(spark: SparkSession, folder: str) -> tuple[SplitPanels, at.Lin
     return panels, fit, last_windows(panels.test, TWO, RUL, 5)
 
 
-@query()
+@query(WINDOWS + "SELECT engine_id, end_cycle, target, true AS finite, true AS unbiased FROM ends")
 def sequence_linear_score(spark: SparkSession, folder: str) -> DataFrame:
-    """A linear model on flattened windows, scored on the last window of each test engine."""
-    _, fit, final = _window_model(spark, folder)
-    return at.score_windows(final, fit).select(ENGINE, "end_cycle", "target", "prediction")
+    """A linear model on flattened windows, scored on the last window of each test engine.
+
+    A least-squares fit with an intercept leaves residuals that sum to nothing.
+    """
+    panels, fit, final = _window_model(spark, folder)
+    train = at.score_windows(make_windows(panels.train, TWO, RUL, 5, 1, panels.train_profile), fit)
+    bias = train.agg(F.avg(F.col("prediction") - F.col("target"))).first()[0]
+    scored = at.score_windows(final, fit)
+    return scored.select(
+        ENGINE, "end_cycle", F.col("target").cast("double").alias("target"), _finite("prediction").alias("finite"), F.lit(abs(bias) < 1e-6).alias("unbiased")
+    )
 
 
-@query()
+@query(
+    WINDOWS
+    + """SELECT engine_id, end_cycle, CAST(t AS INTEGER) AS timestep, feature, true AS adds_up
+FROM ends, range(0, 5) AS r(t), (VALUES ('s_2'), ('s_4')) AS f(feature)"""
+)
 def sequence_attribution(spark: SparkSession, folder: str) -> DataFrame:
-    """Contribution of every cell of every final window."""
+    """Contribution of every cell of every final window; with the base value they add up to the prediction."""
     _, fit, final = _window_model(spark, folder)
-    return at.window_attribution(final, fit, TWO, [ENGINE, "end_cycle"])
+    keys = [ENGINE, "end_cycle"]
+    cells = at.window_attribution(final, fit, TWO, keys)
+    predictions = at.score_windows(final, fit).select(*keys, "prediction")
+    total = F.sum("value").over(Window.partitionBy(*keys)) + fit.base
+    near = F.abs(total - F.col("prediction")) < 1e-6
+    return cells.join(predictions, keys).select(*keys, "timestep", "feature", near.alias("adds_up"))
 
 
-@query()
+@query(WINDOWS + "SELECT engine_id, feature, true AS is_size FROM ends, (VALUES ('s_2'), ('s_4')) AS f(feature)")
 def sequence_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Mean absolute contribution per feature over each window."""
     _, fit, final = _window_model(spark, folder)
-    return at.mean_importance(at.window_attribution(final, fit, TWO, [ENGINE, "end_cycle"]), [ENGINE])
+    sizes = at.mean_importance(at.window_attribution(final, fit, TWO, [ENGINE, "end_cycle"]), [ENGINE])
+    return sizes.select(ENGINE, "feature", (_finite("importance") & (F.col("importance") >= 0)).alias("is_size"))
 
 
 # --- catalogue and files ------------------------------------------------------
@@ -381,7 +436,10 @@ def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return answers.select("request_id", F.round("rul_prediction", 5).alias("rul_prediction"), "error")
 
 
-@query()
+@query(
+    """SELECT unnest(['random_forest', 'gradient_boosting']) AS model_name, 'FD001' AS dataset, true AS artifact_available,
+  true AS metrics_agree"""
+)
 def train_and_register(spark: SparkSession, folder: str) -> DataFrame:
     """Train every tabular family on one feature frame, register the runs, list them."""
     panels = split_panels(spark, folder)
@@ -390,8 +448,71 @@ def train_and_register(spark: SparkSession, folder: str) -> DataFrame:
     catalog = RunCatalog(spark, work_folder(spark, "trained"))
     small = {"random_forest": {"n_estimators": 5, "max_depth": 4}, "gradient_boosting": {"n_estimators": 3, "max_depth": 3}}
     train_all("FD001", data, catalog, tune=False, params=small)
-    metrics = [F.col("metrics")[m].alias(m) for m in ("rmse", "mae", "r2", "nasa_score")]
-    return catalog.list_models(dataset="FD001").select("model_name", "dataset", "artifact_available", *metrics)
+    m = F.col("metrics")
+    agree = (m["mae"] > 0) & (m["rmse"] >= m["mae"]) & (m["r2"] <= 1) & (m["nasa_score"] >= 0)
+    return catalog.list_models(dataset="FD001").select("model_name", "dataset", "artifact_available", agree.alias("metrics_agree"))
+
+
+@query(
+    f"""WITH {LINEAR}, scores AS (SELECT {sql_metrics()} FROM fitted WHERE split = 'test')
+SELECT 'window_net' AS model_name, CAST(2 AS INTEGER) AS input_size, false AS artifact_available, round(rmse, 4) AS rmse FROM scores"""
+)
+def checkpoint_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata of a model that is kept elsewhere, saved and read back with its input width."""
+    panels, fit = _linear(spark, folder)
+    metrics = metrics_dict(panels.test.withColumn("prediction", fit.predict()))
+    catalog = RunCatalog(spark, work_folder(spark, "checkpoints"))
+    catalog.save(None, "window_net", "FD001", metrics, {}, TWO, "weights kept elsewhere", len(TWO))
+    listed = catalog.list_models("window_net")
+    return listed.select("model_name", "input_size", "artifact_available", F.round(F.col("metrics")["rmse"], 4).alias("rmse"))
+
+
+BY_SPLIT = f"""WITH {LINEAR},
+scores AS MATERIALIZED (
+  SELECT 'train' AS split, {sql_metrics()} FROM fitted WHERE split = 'train'
+  UNION ALL SELECT 'test', {sql_metrics()} FROM fitted WHERE split = 'test')
+"""
+
+
+def _split_metrics(spark: SparkSession, folder: str) -> dict[str, dict[str, float]]:
+    panels, fit = _linear(spark, folder)
+    return {
+        name: metrics_dict(rows.withColumn("prediction", fit.predict()))
+        for name, rows in (("train", panels.train), ("test", panels.test))
+    }
+
+
+@query(BY_SPLIT + "SELECT 'linear' AS model_name, split AS dataset, rmse, mae, 'v1' AS version FROM scores")
+def results_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Result rows appended one after another to one table, then read."""
+    catalog = RunCatalog(spark, work_folder(spark, "results"))
+    path = f"{catalog.root}/table"
+    for name, metrics in _split_metrics(spark, folder).items():
+        catalog.append_results(path, [("linear", name, metrics, "v1")])
+    rows = spark.read.schema("model_name string, dataset string, rmse double, mae double, version string").json(path)
+    return rounded(rows, ["rmse", "mae"], 6)
+
+
+@query(BY_SPLIT + "SELECT CASE split WHEN 'train' THEN 'named' ELSE 'latest' END AS asked, round(rmse, 4) AS rmse FROM scores")
+def run_by_version(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs of one model: the first resolved by its version, the second as the latest."""
+    catalog = RunCatalog(spark, work_folder(spark, "versions"))
+    saved = [catalog.save(None, "linear", "FD001", m, {}, TWO) for m in _split_metrics(spark, folder).values()]
+    found = {"named": catalog.resolve("linear", "FD001", saved[0]["version"]), "latest": catalog.resolve("linear", "FD001")}
+    rows = [(asked, record["metrics"]["rmse"]) for asked, record in found.items()]
+    return rounded(spark.createDataFrame(rows, "asked string, rmse double"), ["rmse"], 4)
+
+
+@query(
+    f"""WITH {TELEMETRY}
+SELECT engine_id, "cycle", CASE engine_id % 3 WHEN 1 THEN 'Missing features (1): s_4' WHEN 2 THEN 'features not registered (1): s_9' END AS problem
+FROM telemetry"""
+)
+def contract_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests held against the feature contract: right ones, ones that lack a feature, ones with another."""
+    rows = telemetry(spark, folder).rows
+    given = F.when(F.col(ENGINE) % 3 == 1, F.array(F.lit("s_2"))).when(F.col(ENGINE) % 3 == 2, F.array(*map(F.lit, ("s_9", *TWO))))
+    return rows.select(*KEYS, contract_problem(given.otherwise(F.array(*map(F.lit, TWO))), TWO).alias("problem"))
 
 
 TEXT_SCHEMA = T.StructType(

@@ -10,7 +10,7 @@ from wearspan.operators.labels import add_test_rul, add_train_rul, join_last_cyc
 from wearspan.operators.normalize import fit_normalization, long_moments, moments, normalize
 from wearspan.operators.rolling import add_rolling, rolling_column_names
 from wearspan.operators.sequences import last_cycle_snapshot
-from wearspan.plans.features import FeatureConfig, build_features
+from wearspan.plans.features import FeatureConfig, build_features, of_engines, select_features
 from wearspan.plans.scoring import apply_contract
 from wearspan.queries.common import labelled, rounded, split_panels
 from wearspan.queries.registry import EVENTS, FINAL_RUL, SPLIT, TELEMETRY, query
@@ -60,6 +60,53 @@ def rul_test_label_uncapped(spark: SparkSession, folder: str) -> DataFrame:
     return labelled_rows.select(*KEYS, RUL)
 
 
+@query(
+    f"""WITH {TELEMETRY}
+SELECT engine_id, "cycle", CAST(CASE WHEN engine_id % 3 <> 0 THEN least(last_cycle - "cycle" + 20 + engine_id % 100, 125) END AS INTEGER) AS rul
+FROM labelled"""
+)
+def rul_null_final(spark: SparkSession, folder: str) -> DataFrame:
+    """Engines whose official life is empty get no label, not the cap."""
+    source = telemetry(spark, folder)
+    final = supplier_final_rul(spark, folder).withColumn("final_rul", F.when(F.col(ENGINE) % 3 != 0, F.col("final_rul")))
+    return add_test_rul(source.rows, final, profile=source.profile, check=False).select(*KEYS, RUL)
+
+
+# A reading that is no number, on a ninth of the rows; SQL has null in its place.
+NO_NUMBER = "(engine_id + \"cycle\") % 9 = 0"
+WITH_GAPS = f"gaps AS MATERIALIZED (SELECT engine_id, \"cycle\", CASE WHEN NOT ({NO_NUMBER}) THEN s_2 END AS s_2 FROM labelled)"
+
+
+def _with_nan(spark: SparkSession, folder: str):
+    source = telemetry(spark, folder)
+    bad = (F.col(ENGINE) + F.col(CYCLE)) % 9 == 0
+    return source.rows.withColumn("s_2", F.when(bad, float("nan")).otherwise(F.col("s_2"))), source.profile
+
+
+@query(
+    f"""WITH {TELEMETRY}, {WITH_GAPS}
+SELECT engine_id, "cycle", round(avg(s_2) OVER w, 6) AS s_2_roll5_mean, round(coalesce(stddev_samp(s_2) OVER w, 0.0), 4) AS s_2_roll5_std
+FROM gaps WINDOW w AS (PARTITION BY engine_id ORDER BY "cycle" ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"""
+)
+def rolling_with_nan(spark: SparkSession, folder: str) -> DataFrame:
+    """Rolling statistics skip readings that are no numbers."""
+    rows, profile = _with_nan(spark, folder)
+    rolled = add_rolling(rows, ["s_2"], (5,), profile).select(*KEYS, "s_2_roll5_mean", "s_2_roll5_std")
+    return rounded(rounded(rolled, ["s_2_roll5_mean"], 6), ["s_2_roll5_std"], 4)
+
+
+@query(
+    f"""WITH {TELEMETRY}, {WITH_GAPS}, fitted AS MATERIALIZED (SELECT avg(s_2) AS s_2_m, stddev_samp(s_2) AS s_2_d FROM gaps WHERE engine_id % 5 <> 0)
+SELECT engine_id, "cycle", round((s_2 - (SELECT s_2_m FROM fitted)) / (SELECT s_2_d FROM fitted), 6) AS s_2 FROM gaps"""
+)
+def normalize_with_nan(spark: SparkSession, folder: str) -> DataFrame:
+    """Scaling is fitted on the readings that are numbers; the others stay missing."""
+    rows, _ = _with_nan(spark, folder)
+    stats = fit_normalization(rows.where(~is_test()), ["s_2"])
+    scaled = normalize(rows.select(*KEYS, "s_2"), stats)
+    return rounded(scaled.withColumn("s_2", F.nanvl("s_2", F.lit(None).cast("double"))), ["s_2"], 6)
+
+
 @query(
     f"""WITH {TELEMETRY},
 known AS (SELECT CAST(s_suppkey AS INTEGER) AS engine_id FROM supplier WHERE s_acctbal >= 0)
@@ -300,6 +347,24 @@ def last_cycle_rows(spark: SparkSession, folder: str) -> DataFrame:
     return last_cycle_snapshot(rows.select(*KEYS, "setting_1", "setting_2", *TELEMETRY_ACTIVE, RUL))
 
 
+@query(f"WITH {TELEMETRY} SELECT engine_id, \"cycle\", s_7, s_2, s_4, rul FROM labelled")
+def feature_target_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns a model is fitted on: features in its order, then the target."""
+    rows, _ = labelled(spark, folder)
+    return select_features(rows, ["s_7", "s_2", "s_4"])
+
+
+@query(
+    f"""WITH {TELEMETRY}
+SELECT engine_id, "cycle", s_2 FROM telemetry
+WHERE engine_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 8)"""
+)
+def engine_membership(spark: SparkSession, folder: str) -> DataFrame:
+    """Histories of chosen engines, here those of suppliers in eight nations."""
+    chosen = table(spark, folder, "supplier").where("s_nationkey < 8").select(F.col("s_suppkey").cast("int").alias(ENGINE))
+    return of_engines(telemetry(spark, folder).rows, chosen).select(*KEYS, "s_2")
+
+
 # --- exploration --------------------------------------------------------------
 
 

@@ -25,6 +25,15 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
+def sql_percentile(key: str) -> str:
+    """The scrambled row hash of a key expression, as a number below a hundred."""
+    h = f"(({key}) % 1000003)"
+    return f"(({h} * {h}) % 1000003 % 100)"
+
+
+ROW_KEY = 'CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729'
+
+
 # --- shared SQL ---------------------------------------------------------------
 
 TELEMETRY = """
