@@ -13,8 +13,7 @@ os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    os.environ["PYSPARK_SUBMIT_ARGS"] = f"--conf spark.checkpoint.dir={tmp_path_factory.mktemp('work')} pyspark-shell"
-    session = local_session("8", partitions=4)
+    session = local_session("8", partitions=4, work=str(tmp_path_factory.mktemp("work")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

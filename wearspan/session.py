@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g", name: str = "wearspan") -> SparkSession:
-    """Single-machine session for tests and benchmarks."""
-    return (
+def local_session(
+    cores: str = "*", partitions: int = 8, memory: str = "12g", name: str = "wearspan", work: str | None = None
+) -> SparkSession:
+    """Single-machine session for tests and benchmarks; ``work`` is the checkpoint folder."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -22,8 +24,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g", na
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", work) if work else builder).getOrCreate()
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
