@@ -30,24 +30,32 @@ def without_spaces(text: Column) -> Column:
 
 
 @contextmanager
-def _released_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Within this block Spark removes a query's shuffle files as soon as the query ends."""
-    before = spark.conf.get(RELEASE, "false")
-    spark.conf.set(RELEASE, "true")
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings within this block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(RELEASE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def released_shuffles(spark: SparkSession, **more: str):
+    """Within this block Spark removes a query's shuffle files as soon as the query ends."""
+    return _settings(spark, {RELEASE: "true", **more})
 
 
-def settled(df: DataFrame, purpose: str) -> DataFrame:
+def settled(df: DataFrame, purpose: str, settings: dict[str, str] | None = None) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read back.
 
     Cuts the lineage: later reads give the same rows whatever executors are lost.
+    ``settings`` hold while it is written.
     """
     spark = df.sparkSession
     path = work_folder(spark, f"llm-{purpose}")
-    with _released_shuffles(spark):
+    with released_shuffles(spark, **(settings or {})):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -35,6 +35,9 @@ from wearspan.llm.hashing import Prefix, Words, mix, text_blocks
 #: Units of a block, their offsets by document, and bytes of a unit in a context.
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
+#: Sampled sort keys reach the driver whole, some hundred bytes each; a range needs no more than these.
+FEWER_SAMPLES = {"spark.sql.execution.rangeExchange.sampleSizePerPartition": "20"}
+
 OCCURRENCES = "a BIGINT, e BIGINT, k BIGINT, nb INT, s INT, shape INT"
 ENTRIES = "a BIGINT, e BIGINT, c BIGINT, shape INT, left BINARY, right BINARY"
 NEIGHBOURS = "a BIGINT, e BIGINT, reach INT, lo INT, hi INT, part INT, edge INT, c BIGINT, shape INT, left BINARY, right BINARY"
@@ -193,7 +196,7 @@ def _sorted_matches(entries: DataFrame, win: int, unit: int, side: str) -> DataF
     other = "left" if side == "right" else "right"
     order = ["a", side, other, "e"]
     ordered = entries.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = settled(ordered.mapInArrow(_neighbours(win, unit, side), NEIGHBOURS), f"order-{side}")
+    found = settled(ordered.mapInArrow(_neighbours(win, unit, side), NEIGHBOURS), f"order-{side}", FEWER_SAMPLES)
     ends = [r.asDict() for r in found.where("edge > 0").orderBy("part", "edge").collect()]  # two rows per partition
     across = []
     for x, y in zip(ends[:-1], ends[1:], strict=True):

@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.llm.common import WORD, _released_shuffles, text_of
+from wearspan.llm.common import WORD, released_shuffles, text_of
 from wearspan.session import work_folder
 
 KEYS = ("source", "lang", "tokenizer")
@@ -93,7 +93,7 @@ class TokenRollup:
         for more in deltas[1:]:
             rows = rows.unionByName(more)
         rows = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        with _released_shuffles(self.spark):
+        with released_shuffles(self.spark):
             rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return True
 
