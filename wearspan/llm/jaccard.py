@@ -7,10 +7,12 @@ last: frequencies come from a counter sketch of fixed size over all documents, w
 only influence the order, never the result.
 
 Documents with the same set are one class. To keep large groups of near copies from meeting
-pair by pair, classes are first tied to the least class that has the same first token under
-one of several orders (a link is only made after comparing the texts). The exact join then
-asks only for pairs between different components of these links: a token whose classes are
-all in one component gives no candidates.
+pair by pair, classes are first tied to one class that has the same first token under one of
+several orders: the one with the largest share of frequent tokens, which in a group of near
+copies is the least edited (a link is only made after comparing the texts). The exact join
+then asks only for pairs between different components of these links: a token whose classes
+are all in one component gives no candidates, and copies with many tokens of their own fail
+the position filter, as these come first.
 
 Defined cases: a null, empty or wordless text has no shingles, links with nothing and is its
 own component; under SHINGLE words the whole sequence is the one shingle; copies and repeated
@@ -39,17 +41,20 @@ PERCENT = 85
 #: Counters of the frequency sketch; it is broadcast as a byte for each.
 CELLS = 1 << 20
 PARTS = 64
-#: Mixing constants of the orders; the first two are those of the exact join, all give first tokens.
-ORDERS = (0x0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
+#: Tasks that add up a part of the counters before the last.
+SALTS = 8
+#: Mixing constants of the two orders of the exact join, and of those whose first tokens tie classes together.
+ORDERS = (0x0, 0xA0761D6478BD642F)
+SEEDS = (0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 SIGNATURES = pa.schema(
     [("doc_id", pa.int64()), ("k", pa.int64()), ("nb", pa.int32()), ("cid", pa.int64()), ("n", pa.int32())]
-    + [("first", pa.list_(pa.int64())), ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int32()))]
+    + [("share", pa.int32()), ("first", pa.list_(pa.int64())), ("one", pa.list_(pa.int64())), ("two", pa.list_(pa.int32()))]
 )
-SIGNATURES_DDL = "doc_id BIGINT, k BIGINT, nb INT, cid BIGINT, n INT, first ARRAY<BIGINT>, one ARRAY<BIGINT>, two ARRAY<INT>"
+SIGNATURES_DDL = "doc_id BIGINT, k BIGINT, nb INT, cid BIGINT, n INT, share INT, first ARRAY<BIGINT>, one ARRAY<BIGINT>, two ARRAY<INT>"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -81,17 +86,24 @@ def _count_cells(size: int):
     return run
 
 
-def _add_cells(table: pa.Table) -> pa.Table:
-    total = np.zeros(CELLS // PARTS, np.uint64)
-    for cells in table.column("cells"):
-        total += np.frombuffer(cells.as_buffer(), np.uint32)
-    return pa.table({"part": table.column("part")[:1], "cells": pa.array([total.tobytes()], pa.binary())})
+def _sum_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counters by part, added up as they stream in."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, cells in zip(batch.column("part").to_pylist(), batch.column("cells"), strict=True):
+            raw = cells.as_buffer()
+            counts = np.frombuffer(raw, np.uint32 if raw.size == CELLS // PARTS * 4 else np.uint64)
+            total[part] = total[part] + counts if part in total else counts.astype(np.uint64)
+    for part, counts in total.items():
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "cells": pa.array([counts.tobytes()], pa.binary())})
 
 
 def levels(texts: DataFrame, size: int = SHINGLE) -> bytes:
     """A byte per cell: 0 for cells as full as others, else the binary order of what is above."""
-    counted = texts.select("text").mapInArrow(_count_cells(size), "part INT, cells BINARY")
-    parts = counted.groupBy("part").applyInArrow(_add_cells, "part INT, cells BINARY").collect()  # CELLS counters in all
+    ddl = "part INT, cells BINARY"
+    counted = texts.select("text").mapInArrow(_count_cells(size), ddl).withColumn("salt", F.spark_partition_id() % SALTS)
+    some = counted.repartition("part", "salt").select("part", "cells").mapInArrow(_sum_cells, ddl)
+    parts = some.repartition("part").mapInArrow(_sum_cells, ddl).collect()  # CELLS counters in all
     total = np.zeros((PARTS, CELLS // PARTS), np.float64)
     for row in parts:
         total[row["part"]] = np.frombuffer(row["cells"], np.uint64)
@@ -116,20 +128,15 @@ def _sign(cell_levels, size: int, percent: int):
                     h = np.unique(hashes[at[doc - row] : at[doc - row + 1]])
                     own = [m[doc] for m in meta]
                     if not len(h):
-                        rows.append((*own, None, 0, None, None, None))
+                        rows.append((*own, None, 0, None, None, None, None))
                         continue
                     level = level_of[(h & np.uint64(CELLS - 1)).astype(np.int64)]
+                    share = int(1000 * np.count_nonzero(level) // len(h))
                     p = prefix_length(len(h), percent)
-                    first = []
-                    for n, order in enumerate(ORDERS):
-                        turn = np.lexsort((mix(h ^ np.uint64(order)), level)) if n < 2 else [np.argmin(mix(h ^ np.uint64(order)))]
-                        first.append(int(h[turn[0]].view(np.int64)))
-                        if n == 0:
-                            one = h[turn[:p]].view(np.int64)
-                        elif n == 1:
-                            two = (h[turn[:p]] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    one, two = (h[np.lexsort((mix(h ^ np.uint64(order)), level))[:p]] for order in ORDERS)
+                    first = [int(h[np.argmin(mix(h ^ np.uint64(seed)))].view(np.int64)) for seed in SEEDS]
                     cid = xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
-                    rows.append((*own, cid, len(h), first, one, two))
+                    rows.append((*own, cid, len(h), share, first, one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32)))
             if rows:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SIGNATURES, strict=True)], schema=SIGNATURES)
@@ -178,8 +185,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     # members of a class have equal columns, but for their names, of which the least is taken
     names = settled(filled.groupBy("cid").agg(F.min(F.struct("k", "nb")).alias("name")).select("cid", "name.*"), "names")
 
-    seeds = filled.select("cid", F.posexplode("first").alias("order", "token"))
-    leaders = seeds.groupBy("order", "token").agg(F.min("cid").alias("v"))
+    seeds = filled.select("cid", "share", F.posexplode("first").alias("order", "token"))
+    leaders = seeds.groupBy("order", "token").agg(F.max(F.struct("share", "cid")).getField("cid").alias("v"))
     seeds = seeds.join(leaders, ["order", "token"]).where("cid <> v").select(F.col("cid").alias("u"), "v").distinct()
     tied = _links(seeds, names, texts, size, percent, "seed")
     roots = components(tied).withColumnRenamed("node", "cid")
@@ -217,7 +224,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     alone = F.when(F.col("root").isNull(), F.struct("doc_id", "k", "nb"))
     stay = found.groupBy("root", alone.alias("alone")).agg(F.min(member).alias("stay"))
     stay = stay.select(F.col("stay.doc_id").alias("of"), F.col("stay.k").alias("k_of"), F.col("stay.nb").alias("nb_of"))
-    whole = F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    whole = F.struct("*").alias("doc")
     rows = named(docs.withColumn("doc", whole), "doc").select("doc", "k", "nb", F.col("doc.doc_id").cast("long").alias("id"))
     same = (F.col("k") == F.col("k_of")) & (F.col("nb") == F.col("nb_of")) & F.col("id").eqNullSafe(F.col("of"))
     return rows.join(stay, same, "left_semi").dropDuplicates(["id", "k", "nb"]).select("doc.*")
