@@ -25,7 +25,7 @@ MIN_WORDS = 20
 MAX_REPEATED = 30  # percent of words
 MIN_GROUP = 100
 #: Rate -> (interquartile ranges that a value may lie outside, least such range). Rates are per mille.
-RATES = {"symbols": (3, 50), "lines": (3, 100), "repeats": (3, 50), "length": (8, 250)}
+RATES = {"symbols": (3, 50), "lines": (3, 200), "repeats": (3, 100), "length": (8, 250)}
 #: The rates for which low values are rejected as well.
 TWO_SIDED = ("length",)
 
