@@ -19,7 +19,9 @@ are held in memory at once.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -33,7 +35,7 @@ SIZE = 4096
 OPEN = 32
 FAN = 64
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 BLOCK_BYTES = 1 << 20
 
 PIECES = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, offset BIGINT, part BIGINT, ids BINARY"
@@ -65,21 +67,32 @@ class WordEncoder:
     def _learn(self, words: set[bytes]) -> None:
         parted = {w: self._parted(w.decode()) for w in words}
         parts = self._parts
-        new = list({p for pair in parted.values() for p in pair if p not in parts})
-        for part, encoding in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            parts[part] = b"".join(i.to_bytes(4, "little") for i in encoding.ids)
+        new = list({p for pair in parted.values() for p in pair}.difference(parts))
+        for part, encoding in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            parts[part] = _little_endian(encoding.ids)
         for word, (base, tail) in parted.items():
-            self._words[word] = parts[base] + parts[tail]
+            self._words[word] = parts[base] + parts[tail] if tail else parts[base]
 
     @staticmethod
     def _parted(word: str) -> tuple[str, str]:
         """Latin letters and the full stops or commas after them are separate for the tokenizer; other words stay whole."""
         base = word.rstrip(".,")
-        if base.isalpha() and max(base) < "ɐ" and base.lower().isalpha():
-            return base.lower() if base.isascii() else base, word[len(base) :]
+        if base.isalpha():
+            if base.isascii():
+                return base.lower(), word[len(base) :]
+            if max(base) < "ɐ" and base.lower().isalpha():
+                return base, word[len(base) :]
         return word, ""
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
