@@ -118,4 +118,7 @@ def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
     mine = docs.select(F.struct("*").alias("doc"), digest(text).alias("digest"), F.char_length(text).alias("chars"))
     same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
     winners = batch.select("digest", "keep_id", "keep_chars")
-    return mine.join(winners, "digest").where(same).dropDuplicates(["digest"]).select("doc.*")
+    kept = mine.join(winners, "digest").where(same)
+    if not rows.groupBy("digest", "doc_id", "chars").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["digest"])  # rows that nothing tells apart
+    return kept.select("doc.*")

@@ -143,9 +143,18 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 
 
 def accepted(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """The documents, with all their columns, that the rules keep; texts are not shuffled."""
-    whole = F.struct("*").alias("doc")
-    d = with_rates(measured(docs, [docs["lang"], docs["source"]]))
+    """The documents, with all their columns, that the rules keep.
+
+    A verdict follows from text, language and source, so it is joined by these, the text by its
+    64-bit hash and length. A filter on the measures themselves would be pushed below them and
+    compute them again for each of its terms.
+    """
+    text = text_of(docs)
+    name = [docs["lang"].alias("lang"), docs["source"].alias("source"), F.xxhash64(text).alias("k"), F.octet_length(text).alias("nb")]
+    d = with_rates(settled(measured(docs, name), "measured"))
     limits = settled(thresholds(settled(sketch(d), "sketch"), min_group), "limits")
-    d = with_rates(measured(docs, [docs["lang"], docs["source"], whole]))
-    return judged(d, limits).where("kept").select("doc.*")
+    stay = judged(d, limits).where("kept").select("k", "nb", "lang", "source").distinct()
+    stay = stay.select(*[F.col(c).alias(f"of_{c}") for c in stay.columns])
+    same = (F.col("k") == F.col("of_k")) & (F.col("nb") == F.col("of_nb"))
+    same = same & F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
+    return docs.select(F.struct("*").alias("doc"), *name).join(stay, same, "left_semi").select("doc.*")
