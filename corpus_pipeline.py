@@ -13,6 +13,10 @@ from wearspan.llm import exact, jaccard, mixing, packing, quality
 from wearspan.llm.common import documents, settled
 from wearspan.llm.queries import vocabulary
 
+#: What near_dedup takes for near copies; op6_ngram_jaccard alone is bound to 4 words and 85 percent.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive rules accept."""
@@ -25,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return jaccard.keep_one(docs)
+    """One document of each group of near copies: four fifths of the shingles of NEAR_WORDS words in common."""
+    return jaccard.keep_one(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
