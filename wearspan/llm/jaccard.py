@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearspan.llm.common import settled
+from wearspan.llm.common import WORD, settled
 from wearspan.llm.components import components
 from wearspan.llm.hashing import Prefix, Words, mix, text_blocks
 from wearspan.llm.repeats import named
@@ -218,13 +218,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, one of each component: that with the least doc_id."""
+    """The documents, with all their columns, one of each component: that with the least doc_id; all wordless rows."""
     found = near_duplicates(docs, size, percent)
     member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k", "nb")
     alone = F.when(F.col("root").isNull(), F.struct("doc_id", "k", "nb"))
     stay = found.groupBy("root", alone.alias("alone")).agg(F.min(member).alias("stay"))
     stay = stay.select(F.col("stay.doc_id").alias("of"), F.col("stay.k").alias("k_of"), F.col("stay.nb").alias("nb_of"))
     whole = F.struct("*").alias("doc")
-    rows = named(docs.withColumn("doc", whole), "doc").select("doc", "k", "nb", F.col("doc.doc_id").cast("long").alias("id"))
+    rows = named(docs.withColumn("doc", whole), "doc")
+    own = F.when(~F.col("text").cast("string").rlike(WORD), F.monotonically_increasing_id())  # a wordless row is a component
+    rows = rows.select("doc", "k", "nb", F.col("doc.doc_id").cast("long").alias("id"), own.alias("own"))
     same = (F.col("k") == F.col("k_of")) & (F.col("nb") == F.col("nb_of")) & F.col("id").eqNullSafe(F.col("of"))
-    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "k", "nb"]).select("doc.*")
+    return rows.join(stay, same, "left_semi").dropDuplicates(["id", "k", "nb", "own"]).select("doc.*")
