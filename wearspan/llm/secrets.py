@@ -5,7 +5,9 @@ a window of WINDOW characters slides over each, and the entropy of its character
 incremental counts: a step changes the count of the character that comes in and of the one
 that goes out, and the sum of c*log2(c) by those two terms. A candidate is a secret if its
 largest entropy reaches the limit of its character class (hexadecimal, letters and digits,
-base 64) and no allow-list pattern covers it. Its span must not touch a base span.
+base 64) and no allow-list pattern covers it. Patterns of whole strings are held against the
+candidate; a repeated character or the token with a placeholder in it is cut out, and only
+windows of what is left count. Beside base spans each stretch left of a run is a candidate.
 
 All terms are integers (millionths), so the verdict does not depend on summation order.
 
@@ -41,6 +43,8 @@ ALLOWED = (
     r"(?i)(0123456789|123456789|abcdefghij|example|placeholder|changeme|xxxx)",
     r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}$",
 )
+#: What the patterns of parts in ALLOWED cut out of a candidate: letters and digits around a placeholder, and repeated characters.
+CUT = r"(?<![A-Za-z0-9])[A-Za-z0-9]*(?:" + ALLOWED[3] + r")[A-Za-z0-9]*|(.)\2{5,}"
 #: c * log2(c) in millionths for c = 0 to WINDOW, a fixed table by this rule.
 PLOGP = [0, *(round(c * math.log2(c) * 1e6) for c in range(1, WINDOW + 1))]
 
@@ -103,8 +107,27 @@ def _random_looking(found: Column) -> Column:
     limit = F.when(found.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(found.rlike("^[A-Za-z0-9]+$"), LIMITS["alnum"]).otherwise(LIMITS["base64"])
     allowed = F.lit(False)
     for pattern in ALLOWED:
-        allowed = allowed | found.rlike(pattern)
-    return F.when(allowed, False).otherwise(best_entropy(found) >= limit)
+        if pattern.startswith("^"):
+            allowed = allowed | found.rlike(pattern)
+    parts = F.filter(F.split(found, CUT, -1), lambda p: F.char_length(p) >= WINDOW)
+    return F.when(allowed, False).otherwise(F.exists(parts, lambda p: best_entropy(p) >= limit))
+
+
+def _beside(span: Column, base: Column) -> Column:
+    """The stretches of WINDOW characters or more of a span that no base span holds; base is sorted."""
+
+    def piece(begin: Column, end: Column) -> Column:
+        found = F.substr(span["found"], begin - span["start"] + 1, end - begin)
+        p = F.struct(begin.alias("start"), span["rank"].alias("rank"), end.alias("stop"), span["kind"].alias("kind"), found.alias("found"))
+        return F.when(end - begin >= WINDOW, F.array(p)).otherwise(_none())
+
+    touching = F.filter(base, lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
+    first = F.struct(span["start"].alias("at"), _none().alias("pieces"))
+
+    def step(state: Column, b: Column) -> Column:
+        return F.struct(F.greatest(state["at"], b["stop"]).alias("at"), F.concat(state["pieces"], piece(state["at"], b["start"])).alias("pieces"))
+
+    return F.aggregate(touching, first, step, lambda s: F.concat(s["pieces"], piece(s["at"], span["stop"])))
 
 
 def _joined(spans: Column) -> Column:
@@ -122,8 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     found["other"] = F.when(text.rlike(CANDIDATE), _spans(text, CANDIDATE, "entropy", len(BASE))).otherwise(_none())
     d = d.select("doc_id", *[v.alias(k) for k, v in found.items()])
     d = d.withColumn("base", F.array_sort(F.concat(*BASE)))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    d = d.withColumn("other", F.filter("other", apart))
+    d = d.withColumn("other", F.flatten(F.transform("other", lambda s: _beside(s, F.col("base")))))
     d = d.withColumn("other", F.filter("other", lambda s: _random_looking(s["found"])))
     return d.select(
         "doc_id",
