@@ -1,14 +1,9 @@
-"""Substring dedup by bytes over suffix orders of a prefix-free parse.
-
-A rolling hash over TRIGGER bytes picks triggers (the least of a window, so that every string
-of MIN_BYTES bytes holds one) and cuts each text into phrases that end with a trigger. Equal
-phrases with equal continuation are one dictionary entry, counted over the corpus: that is
-where highly repetitive text shrinks. A suffix of the corpus is a suffix of a phrase, up to its
-trigger, followed by the rest of the parse. So two orders combine into the corpus order of the
-suffixes that can matter: the parse's suffixes, sorted by the text from the trigger on, and the
-dictionary's phrases, sorted backwards from the trigger. Neighbours in them give the longest
-common prefixes from which the strings of MIN_BYTES bytes that occur twice follow (``repeats``).
-Phrases whose trigger no other entry has are left out of the sorts, since nothing can match.
+"""Substring dedup by bytes, by the method of op2 (``repeats``) with bytes as units.
+
+Winnowing picks an anchor of TRIGGER bytes (the least of a window, so that every string of
+MIN_BYTES bytes holds one). The different contexts of an anchor are sorted by what follows and
+by what precedes it; neighbours give the strings of MIN_BYTES bytes that occur twice. No phrase
+dictionary, parse or suffix array is built. Anchors with one context only are not sorted.
 
 Defined cases: a null or empty text has no bytes; texts under MIN_BYTES bytes stay whole; of
 repeated texts every copy is removed, as each occurs elsewhere; repeated rows are such copies;
