@@ -57,7 +57,16 @@ def settled(df: DataFrame, purpose: str, settings: dict[str, str] | None = None)
     path = work_folder(spark, f"llm-{purpose}")
     with released_shuffles(spark, **(settings or {})):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the folder of a settled frame that nothing reads any more: what was made from it is written itself."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(df.settled_at)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearspan.llm import jaccard, mixing, parsing, quality, rollups, secrets, substring
+from wearspan.llm import clustering, jaccard, mixing, parsing, quality, rollups, secrets, substring
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -253,3 +253,38 @@ r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, e.y FROM r JO
 c AS MATERIALIZED (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
 SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n ON c.doc_id = n.doc_id
 """
+
+
+def _clusters() -> str:
+    """Each round is three tables: distances decide, cells are summed, empty centroids stay."""
+    n, parts = clustering.DIMENSIONS, []
+    for r in range(clustering.ROUNDS + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, min({{'d': CAST(vv - 2 * list_inner_product(v, c) + list_inner_product(c, c) AS BIGINT), 'k': k}}) AS best
+  FROM v, c{r} GROUP BY rid)""")
+        if r < clustering.ROUNDS:
+            parts.append(f"""
+m{r} AS MATERIALIZED (
+  SELECT k, list(CAST(cell AS DOUBLE) ORDER BY i) AS c
+  FROM (SELECT best.k AS k, i, floor(sum(v[i]) / count(*)) AS cell FROM a{r} JOIN v USING (rid), range(1, {n + 1}) AS u(i) GROUP BY ALL)
+  GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} ON c{r}.k = m{r}.k)""")
+    last = clustering.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, v, list_inner_product(v, v) AS vv
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE len(embedding) = {n} AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))))),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h ASC NULLS LAST, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('{clustering.SEED}:' || CAST(vec_id AS VARCHAR)) AS h, v FROM v ORDER BY h ASC NULLS LAST, v LIMIT {clustering.CENTROIDS})),
+{",".join(parts)}
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{last} JOIN v USING (rid) JOIN c{last} ON best.k = c{last}.k
+"""
+
+
+CLUSTERS = _clusters()
