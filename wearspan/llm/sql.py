@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wearspan.llm import clustering, jaccard, mixing, parsing, quality, rollups, secrets, substring
+from wearspan.llm import clustering, collocations, jaccard, mixing, parsing, quality, rollups, secrets, substring
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -288,3 +288,30 @@ FROM a{last} JOIN v USING (rid) JOIN c{last} ON best.k = c{last}.k
 
 
 CLUSTERS = _clusters()
+
+COLLOCATIONS = rf"""
+WITH p AS MATERIALIZED (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+t AS MATERIALIZED (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS a
+  FROM (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+        FROM p, unnest(range(1, {collocations.MAX_WORDS + 1})) AS s(size), unnest(range(1, len(w) - size + 2)) AS u(i))
+  GROUP BY ALL),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= {collocations.LEAST}),
+k AS MATERIALIZED (
+  SELECT c.lang, c.phrase, c.size, c.a, min({{'score': CAST(CAST(c.a AS HUGEINT) * c.a * {collocations.MILLION} // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT),
+                                              'k': k, 'l': x.a, 'r': y.a}}) AS worst
+  FROM c, unnest(range(1, size)) AS u(k)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  GROUP BY ALL),
+s AS MATERIALIZED (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:i + n - 1], ' ') AS phrase, c.a AS longer
+  FROM c, unnest(range(2, size)) AS v(n), unnest(range(1, size - n + 2)) AS u(i)),
+o AS MATERIALIZED (SELECT * FROM k WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.lang = k.lang AND s.phrase = k.phrase AND 100 * longer >= {collocations.SWALLOW} * k.a)),
+r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY worst.score DESC, a DESC, phrase) AS rank FROM o)
+SELECT r.lang, rank, phrase, a, worst.l AS l, worst.r AS r, n, worst.score AS score FROM r JOIN t ON r.lang = t.lang WHERE rank <= {collocations.TOP}
+"""
