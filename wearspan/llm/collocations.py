@@ -39,9 +39,9 @@ TOP = 2000
 #: A longer phrase swallows those inside it that it accounts for to this part of a hundred.
 SWALLOW = 50
 MILLION = 1_000_000
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 #: Words and pairs in one part of the counts by hash.
-PART_ENTRIES = 1 << 21
+PART_ENTRIES = 1 << 20
 SHARDS = "shard bigint, langs array<string>, words array<bigint>, vocabulary binary, symbol_lang binary, last binary, reverse_last binary"
 #: Shards are rows of some megabytes: one at a time goes to Python.
 ONE_ROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
