@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearspan.llm.common import dropped, settled, text_of
+from wearspan.llm.common import dropped, settled, settled_buckets, text_of
 from wearspan.llm.fm import FmIndex, last_symbols
 
 MAX_WORDS = 3
@@ -39,6 +39,8 @@ TOP = 2000
 #: A longer phrase swallows those inside it that it accounts for to this part of a hundred.
 SWALLOW = 50
 MILLION = 1_000_000
+#: A language's phrases are ranked in so many parts first.
+PARTS = 64
 SHARD_BYTES = 3 << 20
 #: Words and pairs in one part of the counts by hash.
 PART_ENTRIES = 1 << 20
@@ -140,7 +142,7 @@ def _gather(depth: int, shard_bytes: int):
 def shards(docs: DataFrame, depth: int = MAX_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One FM-index a row, written to the shared folder: later steps name places in them."""
     d = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), text_of(docs).alias("text"))
-    return settled(d.mapInArrow(_gather(depth, shard_bytes), SHARDS), "fm-index", PACKED)
+    return settled_buckets(d.mapInArrow(_gather(depth, shard_bytes), SHARDS), "fm-index", "shard", PACKED)
 
 
 class Shard:
@@ -265,7 +267,8 @@ def phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST, sha
     entries = index.mapInArrow(_entries(max(1, 2 * total // PART_ENTRIES)), "part bigint, shard bigint, at binary, h binary, n binary")
     kept = entries.groupBy("part").applyInArrow(_frequent(least), "shard bigint, at binary")
     kept = settled(kept, "frequent", ONE_ROW)
-    wanted = index.join(kept.groupBy("shard").agg(F.collect_list("at").alias("kept")), "shard")
+    # the index stays in its buckets, only the places are shuffled
+    wanted = index.hint("merge").join(kept.groupBy("shard").agg(F.collect_list("at").alias("kept")), "shard")
     listed = wanted.mapInArrow(_listed(max_words), "lang string, phrase string, size int, a bigint, before bigint, behind bigint")
     summed = listed.groupBy("lang", "phrase", "size").agg(*[F.sum(c).alias(c) for c in ("a", "before", "behind")])
     out = settled(summed.where(F.col("a") >= least), "phrases", ONE_ROW)
@@ -305,6 +308,8 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST
     """lang, rank, phrase, a, l, r, n, score: the best phrases of each language."""
     sizes, found = phrases(docs, max_words, least, shard_bytes)
     left = scored(found).join(swallowed(found), ["lang", "phrase"], "left_anti")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = left.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):  # a language's last ranking then meets at most PARTS * top rows
+        order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

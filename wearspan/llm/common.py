@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -62,9 +63,22 @@ def settled(df: DataFrame, purpose: str, settings: dict[str, str] | None = None)
     return out
 
 
+def settled_buckets(df: DataFrame, purpose: str, key: str, settings: dict[str, str] | None = None) -> DataFrame:
+    """Like ``settled``, in as many buckets by key as the session has shuffle partitions: a join on the key leaves it in place."""
+    spark = df.sparkSession
+    path, table = work_folder(spark, f"llm-{purpose}"), f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
+    with released_shuffles(spark, **(settings or {})):
+        df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.settled_at, out.settled_as = path, table
+    return out
+
+
 def dropped(df: DataFrame) -> None:
     """Removes the folder of a settled frame that nothing reads any more: what was made from it is written itself."""
     spark = df.sparkSession
+    if hasattr(df, "settled_as"):
+        spark.sql(f"DROP TABLE IF EXISTS {df.settled_as}")
     target = spark._jvm.org.apache.hadoop.fs.Path(df.settled_at)
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
