@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.llm import clustering, collocations, exact, jaccard, mixing, packing, parsing, quality, rollups, secrets, sql, substring, toxicity
+from wearspan.llm import clustering, collocations, exact, jaccard, mixing, packing, parsing, pii, quality, rollups, secrets, sql, substring, toxicity
 from wearspan.llm.common import documents, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+@query()
+def op11_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
 @query(sql.CLUSTERS)
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
