@@ -92,4 +92,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
