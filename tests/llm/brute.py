@@ -56,9 +56,9 @@ def shingle_set(text, size=4):
     return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1)))
 
 
-def jaccard(rows, percent=85):
+def jaccard(rows, percent=85, size=4):
     """doc_id, n_shingles, component_id; doc_ids must differ."""
-    sets = [shingle_set(t) for _, t in rows]
+    sets = [shingle_set(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):

@@ -53,7 +53,7 @@ def test_exact_stage(stages):
 
 
 def test_near_stage(stages):
-    want = {r[0] for r in brute.jaccard(texts(stages[2])) if r[0] == r[2]}
+    want = {r[0] for r in brute.jaccard(texts(stages[2]), 80, 5) if r[0] == r[2]}
     assert Counter(i for i, _ in texts(stages[3])) == Counter(want)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearspan.llm.common import settled
+from wearspan.llm.common import dropped, settled
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = settled(small, "stars")
+        last, edges = edges, settled(small, "stars")
+        dropped(last)
         now = _checksum(edges)
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

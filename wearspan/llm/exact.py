@@ -6,7 +6,8 @@ digest, compared with the index by sort-merge anti-join, and what is new is appe
 
 Defined cases: a null text is the empty text; empty texts are copies of each other; a
 null ``doc_id`` loses to any other among equals and may be a ``keep_id``; repeated rows
-are copies, one of them stays; an empty table gives no rows; other columns are ignored.
+are copies, one of them stays; texts of any length are hashed whole; of equals with the same number
+of characters and doc_id any one stays; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from wearspan.llm.common import settled, text_of, without_spaces
 from wearspan.session import work_folder
 
 COLUMNS = "digest BINARY, keep_id BIGINT, keep_chars INT"
+#: Spark's readers skip names that begin with an underscore.
+MARK = "_buckets-"
 
 
 class DigestIndex:
@@ -30,16 +33,33 @@ class DigestIndex:
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
-        """buckets must be the same at each opening; by default the session's shuffle partitions."""
+        """buckets counts for a new index, by default the session's shuffle partitions; an index keeps its own number.
+
+        That number names an empty file in the folder. Asking for another one is an error, as rows would be looked for in wrong buckets.
+        """
         self.spark = spark
         self.path = path or work_folder(spark, "llm-digests")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._layout(buckets)
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.table} ({COLUMNS}) USING parquet LOCATION '{self.path}' "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
         )
 
+    def _layout(self, asked: int | None) -> int:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs.mkdirs(folder)
+        marks = [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith(MARK)]
+        if marks:
+            kept = int(marks[0].removeprefix(MARK))
+            if asked not in (None, kept):
+                raise ValueError(f"{self.path} has {kept} buckets, not {asked}")
+            return kept
+        count = asked or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{MARK}{count}"), False).close()
+        return count
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearspan.llm.common import WORD, settled
+from wearspan.llm.common import WORD, dropped, settled
 from wearspan.llm.components import components
 from wearspan.llm.hashing import Prefix, Words, mix, text_blocks
 from wearspan.llm.repeats import named
@@ -97,6 +97,9 @@ def _sum_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, counts in total.items():
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "cells": pa.array([counts.tobytes()], pa.binary())})
 
+#: Rows of a batch that goes to Python; it holds their whole texts.
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
 
 def levels(texts: DataFrame, size: int = SHINGLE) -> bytes:
     """A byte per cell: 0 for cells as full as others, else the binary order of what is above."""
@@ -170,9 +173,12 @@ def _links(pairs: DataFrame, names: DataFrame, texts: DataFrame, size: int, perc
     asked = pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).distinct()
     wanted = names.join(asked, "cid").select("cid", "k", "nb")
     wanted = texts.join(wanted, ["k", "nb"]).select("cid", "text").dropDuplicates(["cid"])
-    wanted = settled(wanted, f"{purpose}-texts")
+    wanted = settled(wanted, f"{purpose}-texts", FEW_ROWS)
     u, v = (wanted.select(F.col("cid").alias(x), F.col("text").alias(f"t{x}")) for x in ("u", "v"))
-    return settled(pairs.join(u, "u").join(v, "v").mapInArrow(_verify(size, percent), "u BIGINT, v BIGINT"), f"{purpose}-links")
+    links = settled(pairs.join(u, "u").join(v, "v").mapInArrow(_verify(size, percent), "u BIGINT, v BIGINT"), f"{purpose}-links", FEW_ROWS)
+    for read in (pairs, wanted):
+        dropped(read)
+    return links
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -180,7 +186,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     docs = docs.withColumn("doc_id", docs["doc_id"].cast("long"))
     texts = named(docs, "doc_id")
     cell_levels = docs.sparkSession.sparkContext.broadcast(levels(texts, size))
-    signed = settled(texts.mapInArrow(_sign(cell_levels, size, percent), SIGNATURES_DDL), "signatures")
+    signed = settled(texts.mapInArrow(_sign(cell_levels, size, percent), SIGNATURES_DDL), "signatures", FEW_ROWS)
+    members = settled(signed.select("doc_id", "k", "nb", "n", "cid"), "members")
     filled = signed.where("n > 0")
     # members of a class have equal columns, but for their names, of which the least is taken
     names = settled(filled.groupBy("cid").agg(F.min(F.struct("k", "nb")).alias("name")).select("cid", "name.*"), "names")
@@ -194,24 +201,30 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     own = filled.dropDuplicates(["cid"]).select("cid", "n", "one", "two")
     own = own.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     own = settled(own, "classes")
+    dropped(signed)
     tokens = own.select("cid", "n", "root", F.posexplode("one").alias("at", "token"))
     mixed = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     mixed = settled(mixed, "mixed-tokens")
     shared = settled(tokens.join(mixed, "token", "left_semi"), "shared-tokens")
+    dropped(mixed)
     x, y = (shared.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "at")]) for s in "xy")
     both = x.join(y, "token").where("root_x < root_y")
     need = F.ceil(F.expr(f"{percent} * (n_x + n_y) / {100 + percent}"))
     both = both.where(f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)")
     both = both.where(F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) >= need)
     pairs = settled(both.select(F.col("cid_x").alias("u"), F.col("cid_y").alias("v")).distinct(), "one-order")
+    dropped(shared)
     second = own.select("cid", "two")
     u, v = (second.select(F.col("cid").alias(c), F.col("two").alias(f"two_{c}")) for c in "uv")
-    pairs = pairs.join(u, "u").join(v, "v").where(F.arrays_overlap("two_u", "two_v")).select("u", "v")
-    more = _links(pairs, names, texts, size, percent, "join")
+    both = pairs.join(u, "u").join(v, "v").where(F.arrays_overlap("two_u", "two_v")).select("u", "v")
+    more = _links(both, names, texts, size, percent, "join")
+    for read in (pairs, own):
+        dropped(read)
 
     roots = components(tied.unionByName(more)).withColumnRenamed("node", "cid")
-    rows = signed.select("doc_id", "k", "nb", F.col("n").cast("long").alias("n_shingles"), "cid").join(roots, "cid", "left")
+    rows = members.select("doc_id", "k", "nb", F.col("n").cast("long").alias("n_shingles"), "cid").join(roots, "cid", "left")
     rows = settled(rows.withColumn("root", F.coalesce("root", "cid")), "roots")
+    dropped(members)
     lowest = rows.where("root IS NOT NULL").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("lowest"))
     rows = rows.join(lowest, F.col("root") == F.col("of"), "left")
     return rows.select("doc_id", "k", "nb", "n_shingles", "root", F.coalesce("lowest", "doc_id").alias("component_id"))

@@ -93,14 +93,14 @@ def _little_endian(ids: list[int]) -> bytes:
     return numbers.tobytes()
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> WordEncoder:
     """One encoder per worker process; its cache lives on from task to task."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, cache_words) not in _encoders:
+        _encoders[path, cache_words] = WordEncoder(path, cache_words)
+    return _encoders[path, cache_words]
 
 
 class Piece:
@@ -206,12 +206,12 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
             yield ids, texts
 
 
-def _pack_partition(tokenizer: str, size: int, open_windows: int):
+def _pack_partition(tokenizer: str, size: int, open_windows: int, cache_words: int):
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        packer, encode = Packer(part << 32, size, open_windows), encoder(tokenizer).encode
+        packer, encode = Packer(part << 32, size, open_windows), encoder(tokenizer, cache_words).encode
         for doc_ids, texts in _blocks(batches):
             for doc_id, ids in zip(doc_ids, encode(texts), strict=True):
                 ids += end
@@ -239,10 +239,13 @@ def _merge(level: int, last: bool, size: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, open_windows: int = OPEN) -> DataFrame:
-    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. tokenizer: the vocabulary file."""
+def pack(docs: DataFrame, tokenizer: str, size: int = SIZE, open_windows: int = OPEN, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. tokenizer: the vocabulary file.
+
+    A worker remembers the ids of cache_words words, some 300 bytes each; the result doesn't depend on it.
+    """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text"))
-    packed = settled(rows.mapInArrow(_pack_partition(tokenizer, size, open_windows), PIECES), "packed")
+    packed = settled(rows.mapInArrow(_pack_partition(tokenizer, size, open_windows, cache_words), PIECES), "packed")
     whole, left, level = packed.where("ids IS NULL"), packed.where("ids IS NOT NULL"), 1
     parts = (left.agg(F.max("part")).first()[0] or 0) + 1
     while True:
