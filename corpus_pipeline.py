@@ -16,6 +16,8 @@ from wearspan.llm.queries import vocabulary
 #: What near_dedup takes for near copies; op6_ngram_jaccard alone is bound to 4 words and 85 percent.
 NEAR_WORDS = 5
 NEAR_PERCENT = 80
+#: Words whose ids a packing worker remembers; workers stay in memory beside the other stages.
+CACHE_WORDS = 250_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens."""
-    return packing.pack(docs, vocabulary())
+    return packing.pack(docs, vocabulary(), cache_words=CACHE_WORDS)
 
 
 STAGES = [
