@@ -76,7 +76,8 @@ def test_text_roundtrip(spark, tiny, tmp_path):
 
 
 def session_like(master, folder):
-    conf = SimpleNamespace(get=lambda name, default: folder or default)
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+    conf = SimpleNamespace(get=lambda name, default=None: settings[name] or default)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
@@ -84,9 +85,8 @@ def test_work_folder_follows_the_session():
     named = session_like("yarn", "hdfs://shared/work/")
     first, second = work_folder(named, "x"), work_folder(named, "x")
     assert first.startswith("hdfs://shared/work/x-") and first != second
-    assert "wearspan-" in work_folder(session_like("local[2]", None), "x")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        work_folder(session_like("yarn", None), "x")
+    for master in ("local[2]", "yarn"):  # without the setting, the other folder that driver and executors share
+        assert work_folder(session_like(master, None), "x").startswith("hdfs://shared/warehouse/_work/x-")
 
 
 def test_key_profile(tiny):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearspan.functions.rul import present
-from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, split_panel
+from wearspan.operators.skew import ROWS_PER_TASK, Key, KeyProfile, Panel, split_panel
 from wearspan.schema import CYCLE, ENGINE, ROLLING_WINDOWS, rolling_names
 
 
@@ -53,7 +53,7 @@ def add_rolling(
     windows: Sequence[int] = ROLLING_WINDOWS,
     profile: KeyProfile | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    engine: str = ENGINE,
+    engine: Key = ENGINE,
     cycle: str = CYCLE,
 ) -> DataFrame:
     """Add rolling mean and spread of every sensor without crossing engines."""

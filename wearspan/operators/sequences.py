@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearspan.operators.skew import ROWS_PER_TASK, KeyProfile, Panel, split_panel
+from wearspan.operators.skew import ROWS_PER_TASK, Key, KeyProfile, Panel, key_columns, split_panel
 from wearspan.schema import CYCLE, ENGINE, RUL, WINDOW_SIZE
 
 
-def _finish(ended: DataFrame, engine: str) -> DataFrame:
+def _finish(ended: DataFrame, engine: Key) -> DataFrame:
     """Turn ``_steps`` (structs cycle/target/x) into the window columns."""
     last = F.element_at("_steps", -1)
     return ended.select(
-        engine,
+        *key_columns(engine),
         F.element_at("_steps", 1)["cycle"].alias("start_cycle"),
         last["cycle"].alias("end_cycle"),
         last["target"].cast("float").alias("target"),
@@ -48,7 +48,7 @@ def make_windows(
     stride: int = 1,
     profile: KeyProfile | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    engine: str = ENGINE,
+    engine: Key = ENGINE,
     cycle: str = CYCLE,
 ) -> DataFrame:
     """Cut (size × features) windows starting at rows 0, stride, 2·stride … of each engine.
@@ -74,7 +74,7 @@ def cut_windows(
     step = _step(features, target, panel.cycle)
     if stride == 1:
         framed = panel.select(
-            panel.engine, panel.position.alias("_at"), F.collect_list(step).over(panel.trailing(size)).alias("_steps")
+            *panel.keys, panel.position.alias("_at"), F.collect_list(step).over(panel.trailing(size)).alias("_steps")
         )
         return _finish(framed.frame().where(F.col("_at") >= size), panel.engine)
 
@@ -101,7 +101,7 @@ def last_windows(
     features: Sequence[str],
     target: str = RUL,
     size: int = WINDOW_SIZE,
-    engine: str = ENGINE,
+    engine: Key = ENGINE,
     cycle: str = CYCLE,
 ) -> DataFrame:
     """The latest window of every engine that is at least ``size`` rows long.
@@ -110,21 +110,21 @@ def last_windows(
     before the shuffle, so no other window is built.
     """
     window_lookback(size)
-    newest = Window.partitionBy(engine).orderBy(F.col(cycle).desc())
+    newest = Window.partitionBy(*key_columns(engine)).orderBy(F.col(cycle).desc())
     tail = df.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= size)
-    gathered = tail.groupBy(engine).agg(
+    gathered = tail.groupBy(*key_columns(engine)).agg(
         F.array_sort(F.collect_list(_step(features, target, cycle))).alias("_steps")
     )
     return _finish(gathered.where(F.size("_steps") == size), engine)
 
 
-def latest_window(windows: DataFrame, engine: str = ENGINE) -> DataFrame:
+def latest_window(windows: DataFrame, engine: Key = ENGINE) -> DataFrame:
     """From windows already built, keep the one with the largest end cycle per engine."""
-    newest = Window.partitionBy(engine).orderBy(F.col("end_cycle").desc(), F.col("start_cycle"))
+    newest = Window.partitionBy(*key_columns(engine)).orderBy(F.col("end_cycle").desc(), F.col("start_cycle"))
     return windows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def last_cycle_snapshot(df: DataFrame, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:
+def last_cycle_snapshot(df: DataFrame, engine: Key = ENGINE, cycle: str = CYCLE) -> DataFrame:
     """The last observed row of every engine (limit applied before the shuffle)."""
-    newest = Window.partitionBy(engine).orderBy(F.col(cycle).desc())
+    newest = Window.partitionBy(*key_columns(engine)).orderBy(F.col(cycle).desc())
     return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")

@@ -29,6 +29,14 @@ BROADCAST_KEYS = 100_000
 UNBOUNDED = Window.unboundedPreceding
 
 
+#: A key column, or several (such as subset and engine) that name a machine together.
+Key = str | Sequence[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
 @dataclass(frozen=True)
 class KeyProfile:
     """Row count of a frame and the keys too large for one task.
@@ -52,7 +60,7 @@ def heavy_threshold(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
 
 
 def profile_key(
-    df: DataFrame, key: str = ENGINE, cycle: str | None = CYCLE, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, key: Key = ENGINE, cycle: str | None = CYCLE, rows_per_task: int = ROWS_PER_TASK
 ) -> KeyProfile:
     """Find the keys that are too large for one task.
 
@@ -65,7 +73,7 @@ def profile_key(
         return KeyProfile(rows)
     n = F.count(F.lit(1))
     first, last = (F.min(cycle), F.max(cycle)) if cycle else (F.lit(1), n)
-    sizes = df.groupBy(key).agg(n.alias("_n"), first.cast("long").alias("_first"), last.cast("long").alias("_last"))
+    sizes = df.groupBy(*key_columns(key)).agg(n.alias("_n"), first.cast("long").alias("_first"), last.cast("long").alias("_last"))
     found = sizes.where(F.col("_n") > heavy_threshold(rows, rows_per_task)).collect()
     if not found:
         return KeyProfile(rows)
@@ -97,15 +105,16 @@ def with_position(
 
 
 def rank_within(
-    df: DataFrame, key: str, order: Sequence[Column], bucket: Sequence[Column], name: str, profile: KeyProfile
+    df: DataFrame, key: Key, order: Sequence[Column], bucket: Sequence[Column], name: str, profile: KeyProfile
 ) -> DataFrame:
     """Rank rows within a key: plain window for ordinary keys, bucketed for heavy ones."""
-    plain = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    keys = key_columns(key)
+    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     if profile.heavy is None:
         return df.withColumn(name, plain)
-    heavy = F.broadcast(profile.heavy.select(key))
-    light = df.join(heavy, key, "left_anti").withColumn(name, plain)
-    split = with_position(df.join(heavy, key, "left_semi"), [key], order, bucket, name)
+    heavy = F.broadcast(profile.heavy.select(*keys))
+    light = df.join(heavy, keys, "left_anti").withColumn(name, plain)
+    split = with_position(df.join(heavy, keys, "left_semi"), keys, order, bucket, name)
     return light.unionByName(split)
 
 
@@ -114,16 +123,21 @@ class Panel:
     """Panel rows ready for trailing windows, with the columns to partition them by."""
 
     rows: DataFrame
-    engine: str = ENGINE
+    engine: Key = ENGINE
     cycle: str = CYCLE
     split: bool = False
 
     # Columns of a split panel: position, segment, carried-along flag, engine's last cycle.
     HELPERS = ("_pos", "_segment", "_halo", "_last")
 
+    @property
+    def keys(self) -> list[str]:
+        """The columns that name a machine."""
+        return key_columns(self.engine)
+
     @property
     def group(self) -> list[str]:
-        return [self.engine, "_segment"] if self.split else [self.engine]
+        return [*self.keys, "_segment"] if self.split else self.keys
 
     @property
     def columns(self) -> list[str]:
@@ -173,10 +187,11 @@ def split_panel(
     lookback: int = 0,
     profile: KeyProfile | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    engine: str = ENGINE,
+    engine: Key = ENGINE,
     cycle: str = CYCLE,
 ) -> Panel:
     """Prepare a panel for frames that look back ``lookback`` rows."""
+    keys = key_columns(engine)
     profile = profile or profile_key(df, engine, cycle, rows_per_task)
     if profile.heavy is None:
         return Panel(df, engine, cycle)
@@ -184,11 +199,11 @@ def split_panel(
     kind = df.schema[cycle].dataType
     heavy = F.broadcast(profile.heavy)
     if profile.dense:
-        joined = df.join(heavy, engine, "left").withColumn("_pos", F.col(cycle) - F.col("_first") + 1)
+        joined = df.join(heavy, keys, "left").withColumn("_pos", F.col(cycle) - F.col("_first") + 1)
     else:
         bucket = F.floor(F.col(cycle) / F.lit(rows_per_task))
-        hot = with_position(df.join(heavy, engine), [engine], [F.col(cycle)], [bucket])
-        light = df.join(heavy, engine, "left_anti")
+        hot = with_position(df.join(heavy, keys), keys, [F.col(cycle)], [bucket])
+        light = df.join(heavy, keys, "left_anti")
         joined = hot.unionByName(light, allowMissingColumns=True)
     size = F.lit(max(rows_per_task, lookback, 1))
     home = F.coalesce(F.floor((F.col("_pos") - 1) / size), F.lit(0)).cast("long")
@@ -201,19 +216,20 @@ def split_panel(
 
 
 def attach(
-    df: DataFrame, lookup: DataFrame, key: str, how: str = "left", profile: KeyProfile | None = None
+    df: DataFrame, lookup: DataFrame, key: Key, how: str = "left", profile: KeyProfile | None = None
 ) -> DataFrame:
     """Join rows to a table with one row per key.
 
     The lookup is counted and, if small, broadcast. A larger one is joined by
     shuffle, except for the heavy keys, whose few lookup rows are broadcast.
     """
+    keys = key_columns(key)
     if lookup.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        return df.join(F.broadcast(lookup), key, how)
+        return df.join(F.broadcast(lookup), keys, how)
     profile = profile or profile_key(df, key, None)
     if profile.heavy is None:
-        return df.join(lookup, key, how)
-    heavy = F.broadcast(profile.heavy.select(key))
-    light = df.join(heavy, key, "left_anti").join(lookup, key, how)
-    hot = df.join(heavy, key, "left_semi").join(F.broadcast(lookup.join(heavy, key, "left_semi")), key, how)
+        return df.join(lookup, keys, how)
+    heavy = F.broadcast(profile.heavy.select(*keys))
+    light = df.join(heavy, keys, "left_anti").join(lookup, keys, how)
+    hot = df.join(heavy, keys, "left_semi").join(F.broadcast(lookup.join(heavy, keys, "left_semi")), keys, how)
     return light.unionByName(hot)

@@ -96,8 +96,10 @@ def rolling_with_nan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {TELEMETRY}, {WITH_GAPS}, fitted AS MATERIALIZED (SELECT avg(s_2) AS s_2_m, stddev_samp(s_2) AS s_2_d FROM gaps WHERE engine_id % 5 <> 0)
-SELECT engine_id, "cycle", round((s_2 - (SELECT s_2_m FROM fitted)) / (SELECT s_2_d FROM fitted), 6) AS s_2 FROM gaps"""
+    f"""WITH {TELEMETRY}, {WITH_GAPS},
+scoped AS MATERIALIZED (SELECT *, 0 AS scope FROM gaps),
+fitted AS MATERIALIZED (SELECT scope, avg(s_2) AS s_2_m, stddev_samp(s_2) AS s_2_d FROM scoped WHERE engine_id % 5 <> 0 GROUP BY scope)
+SELECT engine_id, "cycle", round((s_2 - s_2_m) / s_2_d, 6) AS s_2 FROM scoped JOIN fitted USING (scope)"""
 )
 def normalize_with_nan(spark: SparkSession, folder: str) -> DataFrame:
     """Scaling is fitted on the readings that are numbers; the others stay missing."""
@@ -245,20 +247,17 @@ def _z(c: str, mean: str, std: str) -> str:
     return f"({c} - {mean}) / (CASE WHEN coalesce({std}, 0) = 0 THEN 1.0 ELSE {std} END)"
 
 
-def _one(column: str) -> str:
-    """A value of the one-row fit."""
-    return f"(SELECT {column} FROM fitted)"
-
-
 def _fit_sql(columns: list[str], source: str, name: str, by: str = "") -> str:
     cells = ", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_d" for c in columns)
     return f"{name} AS MATERIALIZED (SELECT {by + ', ' if by else ''}{cells} FROM {source}{' GROUP BY ' + by if by else ''})"
 
 
 @query(
-    f"""WITH {TELEMETRY}, {_fit_sql(TELEMETRY_SENSORS, "labelled WHERE engine_id % 5 <> 0", "fitted")}
-SELECT engine_id, "cycle", {", ".join(f"round({_z(c, _one(c + '_m'), _one(c + '_d'))}, 6) AS {c}" for c in TELEMETRY_SENSORS)}
-FROM labelled"""
+    f"""WITH {TELEMETRY},
+scoped AS MATERIALIZED (SELECT *, 0 AS scope FROM labelled),
+{_fit_sql(TELEMETRY_SENSORS, "scoped WHERE engine_id % 5 <> 0", "fitted", "scope")}
+SELECT engine_id, "cycle", {", ".join(f"round({_z(c, c + '_m', c + '_d')}, 6) AS {c}" for c in TELEMETRY_SENSORS)}
+FROM scoped JOIN fitted USING (scope)"""
 )
 def normalize_global(spark: SparkSession, folder: str) -> DataFrame:
     """Scaling fitted on the train engines, applied to all engines."""
@@ -296,10 +295,12 @@ SPLIT_ROLLED = SPLIT + f", rolled AS MATERIALIZED (SELECT *, {_rolling_sql(TELEM
 
 
 @query(
-    f"""WITH {SPLIT_ROLLED}, {_fit_sql(SCALED, "rolled WHERE split = 'train'", "fitted")}
+    f"""WITH {SPLIT_ROLLED},
+scoped AS MATERIALIZED (SELECT *, 0 AS scope FROM rolled),
+{_fit_sql(SCALED, "scoped WHERE split = 'train'", "fitted", "scope")}
 SELECT split, engine_id, "cycle", setting_1, setting_2, setting_3,
-  {", ".join(f"round({_z(c, _one(c + '_m'), _one(c + '_d'))}, 5) AS {c}" for c in SCALED)}, rul
-FROM rolled"""
+  {", ".join(f"round({_z(c, c + '_m', c + '_d')}, 5) AS {c}" for c in SCALED)}, rul
+FROM scoped JOIN fitted USING (scope)"""
 )
 def build_features_global(spark: SparkSession, folder: str) -> DataFrame:
     panels = split_panels(spark, folder)
