@@ -108,6 +108,31 @@ def fit_window_linear(windows: DataFrame, size: int, features: Sequence[str], ta
     return _least_squares(vectors, names, 1e-6)
 
 
+def fit_window_average(windows: DataFrame, size: int, features: Sequence[str], target: str = "target") -> LinearFit:
+    """The mean of one simple regression per cell of the flattened windows.
+
+    Unlike least squares over all cells it stays stable when neighbouring cells say the same. Windows
+    are summed as vectors, twice: for the mean label, then for means, variances and covariances.
+    A cell that never varies has slope 0.
+    """
+    names = [f"{t}:{f}" for t in range(size) for f in features]
+    cells = F.flatten(F.col("window")).cast("array<double>")
+    shared = windows.select(cells.alias("_x"), F.col(target).cast("double").alias("_y")).persist()
+    try:
+        n, label = shared.agg(F.count("_y"), F.avg("_y")).first()
+        if not n:
+            raise ValueError("no window to fit on")
+        products = F.transform("_x", lambda x: x * (F.col("_y") - label))
+        cell_sums = Summarizer.metrics("mean", "variance").summary(array_to_vector("_x")).alias("x")
+        found = shared.agg(cell_sums, Summarizer.mean(array_to_vector(products)).alias("xy")).first()
+    finally:
+        shared.unpersist()
+    spread = [float(v) * (n - 1) / n for v in found["x"]["variance"]]
+    slopes = tuple(float(c) / v / len(names) if v > 0 else 0.0 for c, v in zip(found["xy"], spread))
+    means = tuple(float(m) for m in found["x"]["mean"])
+    return LinearFit(tuple(names), slopes, label - sum(c * m for c, m in zip(slopes, means)), means)
+
+
 def score_windows(windows: DataFrame, fit: LinearFit) -> DataFrame:
     """Add the linear prediction of every window."""
     weights = F.lit(list(fit.coefficients))
@@ -193,6 +218,51 @@ def explanation_records(
     )
 
 
+def sequence_explanation_records(
+    windows: DataFrame,
+    fit: LinearFit,
+    features: Sequence[str],
+    keys: Sequence[str],
+    model_name: str,
+    dataset: str,
+    explainer_type: str = "LinearExplainer",
+    background_n: int = 0,
+) -> DataFrame:
+    """One nested record per window, made within its row: no cell is exploded or shuffled.
+
+    ``shap_values_full`` has one array per time step with a value per feature; the importance of a
+    feature is its mean absolute value over the steps, largest first (the last feature on ties).
+    With the base value all cells add up to the prediction.
+    """
+    width, steps = len(features), len(fit.features) // len(features)
+    model = F.arrays_zip(F.flatten("window").alias("x"), F.lit(list(fit.coefficients)).alias("c"), F.lit(list(fit.means)).alias("m"))
+    cells = F.transform(model, lambda p: p["c"] * (p["x"].cast("double") - p["m"]))
+    matrix = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda t: F.slice("_cells", t * width + 1, F.lit(width)))
+    names = F.array(*[F.lit(f) for f in features])
+
+    def size_of(f: Column) -> Column:
+        return F.aggregate("_matrix", F.lit(0.0), lambda total, row: total + F.abs(F.get(row, f))) / steps
+
+    sizes = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda f: F.struct((-size_of(f)).alias("low"), (-f).alias("back")))
+    ranked = windows.select(*keys, cells.alias("_cells")).withColumn("_matrix", matrix).withColumn("_ranked", F.array_sort(sizes))
+    return ranked.select(
+        *keys,
+        F.lit(model_name).alias("model_name"),
+        F.lit(dataset).alias("dataset"),
+        F.aggregate("_cells", F.lit(fit.base), lambda total, v: total + v).alias("rul_prediction"),
+        F.map_from_arrays(
+            F.transform("_ranked", lambda r: F.element_at(names, 1 - r["back"])), F.transform("_ranked", lambda r: -r["low"])
+        ).alias("feature_importances"),
+        F.col("_matrix").alias("shap_values_full"),
+        F.struct(
+            F.lit(explainer_type).alias("explainer_type"),
+            F.lit(background_n).alias("background_n"),
+            F.lit(fit.base).alias("base_value"),
+            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("explained_at"),
+        ).alias("explanation_metadata"),
+    )
+
+
 def explanation_json(records: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Records as JSON text, one per sample."""
     body = [c for c in records.columns if c not in keys]

@@ -372,6 +372,67 @@ def sequence_importance(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.select(ENGINE, "feature", (_finite("importance") & (F.col("importance") >= 0)).alias("is_size"))
 
 
+ALL_FEATURES = [*SETTINGS, "s_2", "s_3", "s_4", "s_7"]
+STEPS = 30
+
+
+def _sequence_sql() -> str:
+    """One simple regression per cell by its step; contributions of the last window of each test engine."""
+    n = STEPS * len(ALL_FEATURES)
+    x = {f: f"CAST(CAST(b.{f} AS FLOAT) AS DOUBLE)" for f in ALL_FEATURES}
+    fits = ", ".join(f"coalesce(CASE WHEN var_pop({x[f]}) > 0 THEN regr_slope(a.rul, {x[f]}) END, 0) / {n} AS c_{f}, avg({x[f]}) AS m_{f}" for f in ALL_FEATURES)
+    values = ", ".join(f"c_{f} * ({x[f]} - m_{f}) AS v_{f}" for f in ALL_FEATURES)
+    total = " + ".join(f"v_{f}" for f in ALL_FEATURES)
+    places = " + ".join(f"v_{f} * (t * {len(ALL_FEATURES)} + {i + 1})" for i, f in enumerate(ALL_FEATURES))
+    rows = " UNION ALL ".join(f"SELECT engine_id, end_cycle, '{f}' AS feature, {i} AS ordinal, i_{f} AS importance FROM summed" for i, f in enumerate(ALL_FEATURES))
+    near = f'a.engine_id = b.engine_id AND b."cycle" BETWEEN a."cycle" - {STEPS - 1} AND a."cycle"'
+    return f"""WITH {SPLIT},
+fit AS MATERIALIZED (
+  SELECT b."cycle" - a."cycle" + {STEPS - 1} AS t, {fits}
+  FROM split_panel a JOIN split_panel b ON {near} AND b.split = 'train' WHERE a.split = 'train' AND a."cycle" >= {STEPS} GROUP BY 1),
+ends AS MATERIALIZED (
+  SELECT engine_id, max("cycle") AS "cycle" FROM split_panel WHERE split = 'test' GROUP BY engine_id HAVING count(*) >= {STEPS}),
+cells AS MATERIALIZED (
+  SELECT a.engine_id, a."cycle" AS end_cycle, t, {values}
+  FROM ends a JOIN split_panel b ON {near} AND b.split = 'test' JOIN fit ON t = b."cycle" - a."cycle" + {STEPS - 1}),
+summed AS MATERIALIZED (
+  SELECT engine_id, end_cycle, count(*) AS steps, sum({total}) AS above, sum({places}) AS checksum,
+         {", ".join(f"avg(abs(v_{f})) AS i_{f}" for f in ALL_FEATURES)}
+  FROM cells GROUP BY ALL),
+base AS MATERIALIZED (SELECT avg(CAST(rul AS DOUBLE)) AS base_value FROM split_panel WHERE split = 'train' AND "cycle" >= {STEPS}),
+placed AS MATERIALIZED (SELECT *, (SELECT base_value FROM base) AS base_value FROM summed)
+SELECT engine_id, end_cycle, CAST(row_number() OVER (PARTITION BY engine_id ORDER BY importance DESC, ordinal DESC) AS INTEGER) AS rank, feature,
+       round(importance, 6) AS importance, CAST(steps AS INTEGER) AS steps, round(base_value, 5) AS base_value,
+       round(base_value + above, 5) AS rul_prediction, round(checksum, 4) AS checksum
+FROM ({rows}) JOIN placed USING (engine_id, end_cycle)"""
+
+
+@query(_sequence_sql())
+def explanation_json_sequence(spark: SparkSession, folder: str) -> DataFrame:
+    """Explanations of the last 30-row window of each test engine, all features, written as JSON text and read again.
+
+    One row per feature in the record's order; the checksum weights every cell of the matrix by its place.
+    """
+    panels = split_panels(spark, folder)
+    train = make_windows(panels.train, ALL_FEATURES, RUL, STEPS, 1, panels.train_profile)
+    fit = at.fit_window_average(train, STEPS, ALL_FEATURES)
+    keys = [ENGINE, "end_cycle"]
+    records = at.sequence_explanation_records(last_windows(panels.test, ALL_FEATURES, RUL, STEPS), fit, ALL_FEATURES, keys, "window_average", "FD001")
+    schema = "rul_prediction double, feature_importances map<string,double>, shap_values_full array<array<double>>, explanation_metadata struct<base_value:double>"
+    read = at.explanation_json(records, keys).select(*keys, F.from_json("json", schema).alias("r")).select(*keys, "r.*")
+    numbered = F.transform(F.flatten("shap_values_full"), lambda v, i: v * (i + 1))
+    rows = read.select(
+        *keys,
+        F.size("shap_values_full").alias("steps"),
+        F.col("explanation_metadata.base_value").alias("base_value"),
+        "rul_prediction",
+        F.aggregate(numbered, F.lit(0.0), lambda total, v: total + v).alias("checksum"),
+        F.posexplode(F.map_entries("feature_importances")).alias("_at", "_part"),
+    )
+    rows = rows.select(*keys, (F.col("_at") + 1).alias("rank"), F.col("_part.key").alias("feature"), F.col("_part.value").alias("importance"), "steps", "base_value", "rul_prediction", "checksum")
+    return rounded(rounded(rounded(rows, ["importance"], 6), ["base_value", "rul_prediction"], 5), ["checksum"], 4)
+
+
 # --- catalogue and files ------------------------------------------------------
 
 

@@ -19,6 +19,9 @@ from wearspan.schema import CYCLE, ENGINE
 TELEMETRY_SENSORS = ["s_1", "s_2", "s_3", "s_4", "s_7"]
 TELEMETRY_ACTIVE = ["s_2", "s_3", "s_4", "s_7"]
 EVENT_SENSORS = ["s_2", "s_3"]
+DATASET = "dataset"
+#: What names a machine in a panel of several subsets: engine numbers repeat between them.
+MACHINE = (DATASET, ENGINE)
 
 # What the adapters put in place of real settings and labels.
 CONSTANT_SETTING = 100.0
@@ -92,6 +95,20 @@ def telemetry_events(spark: SparkSession, folder: str, rows_per_task: int = ROWS
     return PanelSource(rows, profile)
 
 
+def subset_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """Two subsets in one panel, told apart by ``dataset``: telemetry and events, with the two sensors that both have."""
+    parts = {"FD001": telemetry(spark, folder).rows, "FD002": telemetry_events(spark, folder).rows}
+    first, second = (rows.select(F.lit(name).alias(DATASET), ENGINE, CYCLE, *EVENT_SENSORS) for name, rows in parts.items())
+    return first.unionByName(second)
+
+
+def subset_final_rul(spark: SparkSession, folder: str) -> DataFrame:
+    """Official final life per machine of ``subset_panel``; a third of the second subset's machines have none."""
+    users = table(spark, folder, "events").select(F.col("user_id").cast("int").alias(ENGINE)).distinct()
+    second = users.where(F.col(ENGINE) % 3 != 0).select(F.lit("FD002").alias(DATASET), ENGINE, (F.col(ENGINE) % 50).alias("final_rul"))
+    return supplier_final_rul(spark, folder).select(F.lit("FD001").alias(DATASET), ENGINE, "final_rul").unionByName(second)
+
+
 def is_test(engine: str = ENGINE) -> Column:
     """The train/test split by engine; both sides are always kept and labelled."""
     return F.col(engine) % TEST_EVERY == 0
