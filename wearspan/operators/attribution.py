@@ -224,7 +224,7 @@ def sequence_explanation_records(
     features: Sequence[str],
     keys: Sequence[str],
     model_name: str,
-    dataset: str,
+    dataset: str | None,
     explainer_type: str = "LinearExplainer",
     background_n: int = 0,
 ) -> DataFrame:
@@ -232,7 +232,7 @@ def sequence_explanation_records(
 
     ``shap_values_full`` has one array per time step with a value per feature; the importance of a
     feature is its mean absolute value over the steps, largest first (the last feature on ties).
-    With the base value all cells add up to the prediction.
+    With the base value all cells add up to the prediction. ``dataset`` is None where the keys name it.
     """
     width, steps = len(features), len(fit.features) // len(features)
     model = F.arrays_zip(F.flatten("window").alias("x"), F.lit(list(fit.coefficients)).alias("c"), F.lit(list(fit.means)).alias("m"))
@@ -248,7 +248,7 @@ def sequence_explanation_records(
     return ranked.select(
         *keys,
         F.lit(model_name).alias("model_name"),
-        F.lit(dataset).alias("dataset"),
+        *([] if dataset is None else [F.lit(dataset).alias("dataset")]),
         F.aggregate("_cells", F.lit(fit.base), lambda total, v: total + v).alias("rul_prediction"),
         F.map_from_arrays(
             F.transform("_ranked", lambda r: F.element_at(names, 1 - r["back"])), F.transform("_ranked", lambda r: -r["low"])
