@@ -3,12 +3,17 @@
 Each document is measured by built-in functions alone. A sketch counts, per language,
 source and rate, the documents by value kept to seven significant bits, so its buckets are
 exact integers, sketches merge by adding counts, and a quantile is right within 1/64.
-The thresholds of a language and source are its quartiles plus a number of interquartile
-ranges; groups under MIN_GROUP documents take the sketch of the language, then of all.
+Symbols, repeated lines and repeated words are bounded above by a quantile of their language and
+source (RATES): a multiple of it, and a tolerance above it. That of symbols is low, as junk may be a
+tenth of a source; those of repeats are high, as most texts have none. The length of words stays
+within a number of interquartile ranges. A quantile is read only where enough documents lie beyond it
+(MIN_GROUP for quartiles, TEN times that for the 99th percentile); smaller groups take the merged
+sketch of the language, then of all.
 A document stays if the base rules pass it and no rate is outside its group's thresholds.
 
 Defined cases: a null text has no words and fails the base rules; a null language or source
-is a group; repeated rows are measured each; an empty table gives no rows; other columns
+is a group; repeated rows are measured each; texts of any length are measured whole; a value equal
+to its threshold stays; an empty table gives no rows; other columns
 are kept by ``accepted`` and ignored by ``verdicts``.
 """
 
@@ -24,8 +29,11 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30  # percent of words
 MIN_GROUP = 100
-#: Rate -> (interquartile ranges that a value may lie outside, least such range). Rates are per mille.
-RATES = {"symbols": (3, 50), "lines": (3, 200), "repeats": (3, 100), "length": (8, 250)}
+TEN = 10
+#: Rate -> (percent of the quantile, multiple of it that is the threshold, least distance above it). Rates are per mille.
+RATES = {"symbols": (75, 3, 50), "lines": (99, 3, 100), "repeats": (99, 3, 50), "length": (75, None, 250)}
+#: Interquartile ranges, each of the rate's least distance or more, that the length of words may lie outside the quartiles.
+RANGES = 8
 #: The rates for which low values are rejected as well.
 TWO_SIDED = ("length",)
 
@@ -94,31 +102,40 @@ def merged(sketches: DataFrame, *by: str) -> DataFrame:
     return sketches.groupBy(*by, "rate", "value").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, *by: str) -> DataFrame:
-    """by, rate, docs, q1, q3: the values at a quarter and three quarters of the documents."""
+def quantiles(sketches: DataFrame, *by: str) -> DataFrame:
+    """by, rate, docs, q25, q75, q99: the least values that this percentage of the documents doesn't exceed."""
     group = Window.partitionBy(*by, "rate")
     run = F.sum("n").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     s = sketches.withColumns({"run": run, "docs": F.sum("n").over(group)})
-    at = lambda part: F.min(F.when(F.col("run") * 4 >= F.col("docs") * part, F.col("value")))
-    return s.groupBy(*by, "rate").agg(F.max("docs").alias("docs"), at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda part: F.min(F.when(F.col("run") * 100 >= F.col("docs") * part, F.col("value"))).alias(f"q{part}")
+    return s.groupBy(*by, "rate").agg(F.max("docs").alias("docs"), at(25), at(75), at(99))
+
+
+def least_docs(rate: str, min_group: int) -> int:
+    """Documents that a group needs for the rate's quantile."""
+    return min_group * (TEN if RATES[rate][0] == 99 else 1)
 
 
 def thresholds(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """lang, source and per rate <rate>_low, <rate>_high; sketches are small, one row per bucket."""
-    own = quartiles(sketches, "lang", "source")
-    lang = quartiles(merged(sketches, "lang"), "lang").select(F.col("lang").alias("l"), F.col("rate").alias("r"), "docs", "q1", "q3")
-    whole = quartiles(merged(sketches)).select(F.col("rate").alias("ra"), F.struct("q1", "q3").alias("of_all"))
-    lang = lang.select("l", "r", F.when(F.col("docs") >= min_group, F.struct("q1", "q3")).alias("of_lang"))
-    own = own.select("lang", "source", "rate", F.when(F.col("docs") >= min_group, F.struct("q1", "q3")).alias("of_own"))
+    parts = F.struct("q25", "q75", "q99")
+    need = F.coalesce(*[F.when(F.col("rate") == r, least_docs(r, min_group)) for r in RATES])
+    large = F.when(F.col("docs") >= need, parts)
+    own = quantiles(sketches, "lang", "source").select("lang", "source", "rate", large.alias("of_own"))
+    lang = quantiles(merged(sketches, "lang"), "lang").select(F.col("lang").alias("l"), "rate", large.alias("of_lang")).withColumnRenamed("rate", "r")
+    whole = quantiles(merged(sketches)).select(F.col("rate").alias("ra"), parts.alias("of_all"))
     q = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rate") == F.col("r"))).join(whole, F.col("rate") == F.col("ra"))
     q = q.withColumn("q", F.coalesce("of_own", "of_lang", "of_all"))
     columns = []
-    for rate, (ranges, least) in RATES.items():
+    for rate, (part, times, least) in RATES.items():
         mine = F.col("rate") == rate
-        reach = F.greatest(F.col("q.q3") - F.col("q.q1"), F.lit(least)) * ranges
-        columns.append(F.max(F.when(mine, F.col("q.q3") + reach)).alias(f"{rate}_high"))
-        if rate in TWO_SIDED:
-            columns.append(F.max(F.when(mine, F.col("q.q1") - reach)).alias(f"{rate}_low"))
+        if times is None:
+            reach = F.greatest(F.col("q.q75") - F.col("q.q25"), F.lit(least)) * RANGES
+            columns.append(F.max(F.when(mine, F.col("q.q75") + reach)).alias(f"{rate}_high"))
+            columns.append(F.max(F.when(mine, F.col("q.q25") - reach)).alias(f"{rate}_low"))
+        else:
+            at = F.col(f"q.q{part}")
+            columns.append(F.max(F.when(mine, F.greatest(at * times, at + least))).alias(f"{rate}_high"))
     return q.groupBy("lang", "source").agg(*columns)
 
 

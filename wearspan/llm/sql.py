@@ -74,13 +74,27 @@ def _quality() -> str:
     n = quality.WINDOW
     unpivot = "\n  UNION ALL ".join(f"SELECT doc_id, lang, source, '{r}' AS rate, {r} AS value FROM rates" for r in quality.RATES)
     limits, inside = [], ["NOT base_failed"]
-    for r, (ranges, least) in quality.RATES.items():
-        reach = f"{ranges} * greatest(q3 - q1, {least})"
-        limits.append(f"max(CASE WHEN rate = '{r}' THEN q3 + {reach} END) AS {r}_high")
+    for r, (part, times, least) in quality.RATES.items():
+        reach = f"{quality.RANGES} * greatest(q75 - q25, {least})"
+        high = f"q75 + {reach}" if times is None else f"greatest({times} * q{part}, q{part} + {least})"
+        limits.append(f"max(CASE WHEN rate = '{r}' THEN {high} END) AS {r}_high")
         inside.append(f"{r} <= {r}_high")
         if r in quality.TWO_SIDED:
-            limits.append(f"max(CASE WHEN rate = '{r}' THEN q1 - {reach} END) AS {r}_low")
+            limits.append(f"max(CASE WHEN rate = '{r}' THEN q25 - {reach} END) AS {r}_low")
             inside.append(f"{r} >= {r}_low")
+    need = "CASE rate " + " ".join(f"WHEN '{r}' THEN {quality.least_docs(r, quality.MIN_GROUP)}" for r in quality.RATES) + " END"
+
+    def quantiles(name: str, by: str) -> str:
+        """Quantiles by counting values; least says whether the group is large enough."""
+        cells = ", ".join(f"min(value) FILTER (run * 100 >= docs * {p}) AS q{p}" for p in (25, 75, 99))
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT {by}rate, {cells}, max(docs) >= {need} AS large
+  FROM (SELECT *, sum(n) OVER (PARTITION BY {by}rate ORDER BY value) AS run, sum(n) OVER (PARTITION BY {by}rate) AS docs
+        FROM (SELECT {by}rate, value, count(*) AS n FROM v GROUP BY ALL))
+  GROUP BY {by}rate)"""
+
+    pick = ", ".join(f"CASE WHEN o.large THEN o.q{p} WHEN l.large THEN l.q{p} ELSE a.q{p} END AS q{p}" for p in (25, 75, 99))
     return rf"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{W}') AS words,
@@ -108,17 +122,9 @@ rates AS MATERIALIZED (
   FROM m),
 v AS MATERIALIZED (
   SELECT lang, source, rate, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) AS value
-  FROM ({unpivot})),
-q_own AS MATERIALIZED (
-  SELECT lang, source, rate, count(*) AS docs, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
-q_lang AS MATERIALIZED (
-  SELECT lang, rate, count(*) AS docs, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
-q_all AS MATERIALIZED (
-  SELECT rate, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM v GROUP BY ALL),
+  FROM ({unpivot})),{quantiles("q_own", "lang, source, ")},{quantiles("q_lang", "lang, ")},{quantiles("q_all", "")},
 q AS MATERIALIZED (
-  SELECT o.lang, o.source, o.rate,
-         CASE WHEN o.docs >= {quality.MIN_GROUP} THEN o.q1 WHEN l.docs >= {quality.MIN_GROUP} THEN l.q1 ELSE a.q1 END AS q1,
-         CASE WHEN o.docs >= {quality.MIN_GROUP} THEN o.q3 WHEN l.docs >= {quality.MIN_GROUP} THEN l.q3 ELSE a.q3 END AS q3
+  SELECT o.lang, o.source, o.rate, {pick}
   FROM q_own o JOIN q_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rate = l.rate JOIN q_all a ON o.rate = a.rate),
 x AS MATERIALIZED (SELECT lang, source, {", ".join(limits)} FROM q GROUP BY lang, source)
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {" AND ".join(inside)} AS kept
