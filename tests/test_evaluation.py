@@ -1,9 +1,11 @@
+import hashlib
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wearspan.operators import splits
 from wearspan.operators.metrics import early_stopping, evaluate, metrics_dict, ranked_leaderboard, weighted_mean
 from wearspan.operators.splits import background_sample, exact_holdout, expand_grid, grid_frame, with_holdout
 
@@ -81,6 +83,34 @@ def test_exact_holdout_size(spark, fraction, expected):
     assert not got.duplicated(["engine_id", "cycle"]).any()
 
 
+@pytest.mark.parametrize("radix", [3, 15])
+def test_holdout_is_the_smallest_hashes(spark, monkeypatch, radix):
+    monkeypatch.setattr(splits, "RADIX_BITS", radix)
+    got = exact_holdout(rows(spark, 50, 80), 0.3).withColumn("h", splits.mixed_hash()).toPandas()
+    assert got["is_validation"].sum() == 1200 and got["h"].nunique() == 4000
+    assert got.loc[got["is_validation"], "h"].max() < got.loc[~got["is_validation"], "h"].min()
+    digest = hashlib.md5(f"{got['engine_id'][0]}:{got['cycle'][0]}".encode()).hexdigest()
+    assert got["h"][0] == int(digest[:15], 16)
+
+
+def test_holdout_of_repeated_keys_is_exact(spark):
+    repeated = rows(spark, 1, 3).crossJoin(spark.range(1000).withColumnRenamed("id", "copy"))
+    for fraction in (0.1, 0.5, 0.9):
+        got = exact_holdout(repeated, fraction).toPandas()
+        assert len(got) == 3000 and got["is_validation"].sum() == int(3000 * fraction)
+        assert not got.duplicated(["engine_id", "cycle", "copy"]).any()
+    same = rows(spark, 1, 1).crossJoin(spark.range(10)).drop("id")
+    assert exact_holdout(same, 0.3).where("is_validation").count() == 3
+
+
+def test_holdout_of_many_keys_is_one_expression(spark):
+    """A billion keys: the marks need neither an exchange nor a window."""
+    many = spark.range(10**9).select((F.col("id") % 10**6).alias("engine_id"), F.floor(F.col("id") / 10**6).alias("cycle"))
+    marked = splits._mark_smallest(many, splits.mixed_hash(), splits.HashCut(10**9, 2**57, 1, 1), "is_validation")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+
+
 def test_exact_holdout_needs_two_rows(spark):
     with pytest.raises(ValueError, match="two rows"):
         exact_holdout(rows(spark, 1, 1))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wearspan.operators.skew import with_position
 from wearspan.schema import CYCLE, ENGINE
 
 # Multipliers and moduli of the portable row hash.
@@ -15,7 +17,9 @@ ENGINE_FACTOR = 7919
 CYCLE_FACTOR = 104729
 PERCENT = 100
 FINE = 1_000_003
-FINE_STEP = 16
+#: Bits of the mixed hash, and how many of them a round of radix selection counts.
+HASH_BITS = 60
+RADIX_BITS = 15
 
 
 def row_hash(modulus: int, engine: str = ENGINE, cycle: str | None = CYCLE) -> Column:
@@ -44,40 +48,82 @@ def with_holdout(df: DataFrame, percent: int = 20, by: str = "row", engine: str
     return df.withColumn("is_validation", h % PERCENT < percent)
 
 
+def mixed_hash(engine: str = ENGINE, cycle: str = CYCLE) -> Column:
+    """``HASH_BITS`` well-mixed bits of the row key, from the first digits of its MD5."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.col(engine), F.col(cycle)).cast("binary")), 1, HASH_BITS // 4)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+@dataclass(frozen=True)
+class HashCut:
+    """The smallest hashes of a frame: all ``below`` the cut, and ``take`` of the ``at`` rows that have it."""
+
+    total: int
+    cut: int
+    take: int
+    at: int
+
+
+def hash_cut(df: DataFrame, hashed: Column, size: Callable[[int], int]) -> HashCut:
+    """Find the hash that ``size(total)`` rows do not exceed, by radix selection.
+
+    Each round counts the rows per value of the next ``RADIX_BITS`` bits and keeps the one
+    value in which the count is reached. A job shuffles and returns one number per value, so
+    at most ``2 ** RADIX_BITS``, and reads the key columns only; once what is left has no more rows
+    than that, its whole hashes are counted. Nothing is sorted and no row leaves its partition.
+    """
+    left, shift, below, wanted, total = df.select(hashed.alias("_hash")), HASH_BITS, 0, None, None
+    while True:
+        few = total is not None and at <= 1 << RADIX_BITS
+        shift = 0 if few else max(0, shift - RADIX_BITS)
+        digits = F.shiftright("_hash", shift)
+        counts = sorted(map(tuple, left.groupBy(digits.alias("_digits")).agg(F.count(F.lit(1))).collect()))
+        if total is None:
+            total = sum(n for _, n in counts)
+            wanted = min(size(total), total)
+            if wanted <= 0:
+                return HashCut(total, -1, 0, 0)
+        for digit, at in counts:
+            if below + at >= wanted:
+                break
+            below += at
+        if shift == 0:
+            return HashCut(total, digit, wanted - below, at)
+        left = left.where(F.col("_hash").between(digit << shift, ((digit + 1) << shift) - 1))
+
+
+def _mark_smallest(df: DataFrame, hashed: Column, found: HashCut, name: str) -> DataFrame:
+    """Mark the rows of a cut: one expression, unless only some rows of the cut's own hash are wanted."""
+    if found.take == found.at:
+        return df.withColumn(name, hashed <= found.cut)
+    marked = df.withColumn(name, hashed < found.cut)
+    others = F.xxhash64(*df.columns)
+    tied = with_position(df.where(hashed == found.cut), [], [others], [F.shiftright(others, 48)])
+    return marked.where(hashed != found.cut).unionByName(tied.withColumn(name, F.col("_pos") <= found.take).drop("_pos"))
+
+
 def exact_holdout(df: DataFrame, fraction: float = 0.2, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:
-    """Mark exactly ``max(1, int(n · fraction))`` rows as validation.
+    """Mark exactly ``max(1, int(n · fraction))`` rows as validation: those with the smallest hash.
 
-    The rows with the smallest hash are taken. A histogram of the hash finds the
-    one cell where the count is reached, and only that cell is ranked: no global
-    sort, no single task over the data.
+    ``hash_cut`` finds the largest of these hashes; the marks are then a comparison in the
+    row. Only where rows repeat a key and the cut falls between them are the rows of that one hash
+    ranked, by a hash of all their columns and in cells of it; rows that are equal throughout share
+    a cell. A null in the key hashes like an absent part. Fewer than two rows are an error.
     """
-    h = row_hash(FINE, engine, cycle)
-    cell = F.floor(h / F.lit(FINE_STEP))
-    histogram = df.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    total = histogram.agg(F.sum("_n")).first()[0] or 0
-    size = max(1, int(total * fraction))
-    if total - size <= 0:
+    hashed = mixed_hash(engine, cycle)
+    found = hash_cut(df, hashed, lambda total: max(1, int(total * fraction)))
+    if found.total < 2 or found.take < 1 or int(found.total * fraction) >= found.total:
         raise ValueError("a hold-out needs at least two rows")
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = (
-        histogram.withColumn("_start", before)
-        .where((F.col("_start") < size) & (F.col("_start") + F.col("_n") >= size))
-        .first()
-    )
-    placed = df.withColumns({"_cell": cell, "_hash": h})
-    sure = placed.where(F.col("_cell") != edge["_cell"]).withColumn("is_validation", F.col("_cell") < edge["_cell"])
-    order = Window.partitionBy("_cell").orderBy("_hash", engine, cycle)
-    ranked = placed.where(F.col("_cell") == edge["_cell"]).withColumn(
-        "is_validation", F.row_number().over(order) <= size - edge["_start"]
-    )
-    return sure.unionByName(ranked).drop("_cell", "_hash")
+    return _mark_smallest(df, hashed, found, "is_validation")
 
 
 def background_sample(df: DataFrame, n: int, engine: str = ENGINE, cycle: str = CYCLE) -> DataFrame:
-    """A repeatable sample of ``n`` rows without replacement (all rows if fewer)."""
-    return (
-        df.withColumn("_hash", row_hash(FINE, engine, cycle)).orderBy("_hash", engine, cycle).limit(n).drop("_hash")
-    )
+    """A repeatable sample of ``n`` rows without replacement (all rows if fewer); a filter, not a sort."""
+    hashed = mixed_hash(engine, cycle)
+    found = hash_cut(df, hashed, lambda total: n)
+    if found.total <= n:
+        return df
+    return _mark_smallest(df, hashed, found, "_taken").where("_taken").drop("_taken")
 
 
 def expand_grid(grid: dict[str, Sequence[Any]]) -> list[dict[str, Any]]:

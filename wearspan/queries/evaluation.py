@@ -252,7 +252,9 @@ def holdout_split_by_engine(spark: SparkSession, folder: str) -> DataFrame:
     return with_holdout(rows, 20, "engine").select(*KEYS, "is_validation")
 
 
-HASHED = """hashed AS (SELECT *, (CAST(engine_id AS BIGINT) * 7919 + "cycle" * 104729) % 1000003 AS h FROM labelled)"""
+# The first 15 hexadecimal digits of the key's MD5, as a number.
+HASHED = """hashed AS (SELECT *, CAST('0x' || substr(md5(CAST(engine_id AS VARCHAR) || ':' || CAST("cycle" AS VARCHAR)), 1, 15) AS BIGINT) AS h
+  FROM labelled)"""
 
 
 @query(
