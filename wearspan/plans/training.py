@@ -125,6 +125,7 @@ def random_forest(params: dict[str, Any]) -> Estimator:
         maxDepth=DEEPEST_TREE if depth is None else depth,
         minInstancesPerNode=params["min_samples_leaf"],
         featureSubsetStrategy=str(params["max_features"]),
+        bootstrap=params.get("bootstrap", True),
         seed=params["seed"],
     )
 
