@@ -92,6 +92,55 @@ def test_regimes_are_numbered_by_centre(spark):
     assert {(r[0], r[1]): r[3] for r in ids} == {(a, b): int(a * 2 + b) for a, b, _ in points}
 
 
+def test_hot_regime_in_a_large_table(spark, monkeypatch):
+    """Ninety of a hundred rows in one regime: the same scores, and no task with much more than its share."""
+    n = 40_000
+    regime = F.when(F.col("id") % 10 < 9, 0).when(F.col("id") % 50 == 9, None).otherwise(F.col("id") % 997).cast("int")
+    df = spark.range(n).select("id", regime.alias(REGIME), (F.col("id") % 113).cast("double").alias("s_2"))
+    stats = norm.fit_normalization(df, ["s_2"], True)
+    monkeypatch.setattr(norm, "SMALL_TABLE", 5)
+    large = norm.fit_normalization(df, ["s_2"], True)
+    assert stats.small and not large.small
+    want = {r["id"]: r["s_2"] for r in norm.normalize(df, stats).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = norm.normalize(df, large).withColumn("_task", F.spark_partition_id()).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        large.regimes.unpersist()
+    assert len(got) == n and list(got.columns) == ["id", REGIME, "s_2", "_task"]
+    np.testing.assert_allclose(got["s_2"], got["id"].map(want), atol=1e-12)
+    sizes = got.groupby("_task").size()
+    assert sizes.max() <= 3 * sizes.median()
+
+
+def test_regimes_of_continuous_settings(spark):
+    """A planted mixture: the same centres however the points are spread, near the planted ones."""
+    planted = np.array([(0.0, 0.0, 100.0), (10.0, 0.2, 100.0), (20.0, 0.7, 100.0), (25.0, 0.6, 60.0), (35.0, 0.8, 100.0), (42.0, 0.8, 60.0)])
+    rng = np.random.default_rng(11)
+    kind = rng.choice(6, 3000, p=[0.4, 0.2, 0.1, 0.1, 0.1, 0.1])
+    points = planted[kind] + rng.normal(0, [0.3, 0.01, 0.3], (3000, 3))
+    df = spark.createDataFrame([(int(k), *map(float, p)) for k, p in zip(kind, points)], "kind int, setting_1 double, setting_2 double, setting_3 double")
+    fits = [fit_regimes(df.repartition(n)) for n in (3, 50)]
+    np.testing.assert_allclose(fits[0].centres, fits[1].centres, atol=1e-9)
+    np.testing.assert_allclose(fits[0].centres, [points[kind == k].mean(axis=0) for k in range(6)], atol=1e-6)
+    got = fits[0].assign(df).select("kind", REGIME).distinct().collect()
+    assert sorted((r[0], r[1]) for r in got) == [(k, k) for k in range(6)]
+
+
+def test_regimes_of_odd_rows(spark):
+    schema = "setting_1 double, setting_2 double, setting_3 double"
+    odd = [(None, 1.0, 1.0), (float("nan"), 1.0, 1.0), (float("inf"), 1.0, 1.0)]
+    df = spark.createDataFrame([(1.0, 1.0, 1.0), (1.0, 1.0, 1.0), (5.0, 1.0, 1.0), *odd], schema)
+    model = fit_regimes(df)
+    assert model.centres == ((1.0, 1.0, 1.0), (5.0, 1.0, 1.0))
+    assert [r[0] for r in model.assign(df).select(REGIME).collect()] == [0, 0, 1, None, None, None]
+    with pytest.raises(ValueError, match="finite"):
+        fit_regimes(spark.createDataFrame(odd, schema))
+
+
 def test_exploration(spark, tiny):
     flat = tiny.withColumn("s_1", F.lit(1.5))
     labelled = add_train_rul(flat, cap=None)

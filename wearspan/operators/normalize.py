@@ -14,6 +14,8 @@ from wearspan.schema import REGIME
 
 # A table of regime statistics up to this many rows is broadcast; the size only chooses the join.
 SMALL_TABLE = 10_000
+# Shares of one regime's rows in the join with a larger table.
+SALTS = 32
 
 
 def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -66,8 +68,13 @@ def fit_normalization(
 
     table = moments(train, columns, [regime]).persist()
     means, stds = _merged(table, columns)
-    small = table.count() <= SMALL_TABLE
-    return NormalizationStats(tuple(columns), means, stds, table.drop(*_raw(columns)), small, regime)
+    rows = table.limit(SMALL_TABLE + 1).collect()
+    if len(rows) > SMALL_TABLE:
+        return NormalizationStats(tuple(columns), means, stds, table.drop(*_raw(columns)), False, regime)
+    # a small table is kept as values, so that nothing stays in the executors' memory
+    kept = train.sparkSession.createDataFrame(rows, table.schema).drop(*_raw(columns))
+    table.unpersist()
+    return NormalizationStats(tuple(columns), means, stds, kept, True, regime)
 
 
 def _raw(columns: Sequence[str]) -> list[str]:
@@ -100,15 +107,30 @@ def _number(value, default: float) -> float:
     return default if value is None or math.isnan(value) else float(value)
 
 
+def _with_statistics(df: DataFrame, stats: NormalizationStats) -> DataFrame:
+    """Rows beside the statistics of their regime; null statistics where it has none.
+
+    A small table is broadcast. A large one is joined by shuffle, and there a regime may hold
+    most rows: each row takes one of ``SALTS`` shares by a hash of its columns, and the table, one
+    narrow row per regime, is repeated for each share. A null regime matches nothing but is dealt
+    over the tasks in the same way.
+    """
+    if stats.small:
+        return df.join(F.broadcast(stats.regimes), stats.regime, "left")
+    shares = [c for c, kind in df.dtypes if "map<" not in kind]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*shares), F.lit(SALTS)).cast("int"))
+    repeated = stats.regimes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [stats.regime, "_salt"], "left").drop("_salt")
+
+
 def normalize(df: DataFrame, stats: NormalizationStats) -> DataFrame:
     """Replace the fitted columns by their z-scores, keeping column order.
 
-    Regimes that were not seen in training use the global statistics.
+    Regimes that were not seen in training, or are null, use the global statistics.
     """
     if stats.regimes is None:
         return df.withColumns({c: (F.col(c) - stats.means[c]) / F.lit(stats.stds[c]) for c in stats.columns})
-    table = F.broadcast(stats.regimes) if stats.small else stats.regimes
-    joined = df.join(table, stats.regime, "left")
+    joined = _with_statistics(df, stats)
 
     def score(c: str) -> Column:
         mean = F.coalesce(F.col(f"{c}__mean"), F.lit(stats.means[c]))
