@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -101,18 +102,29 @@ def quality_measures(text):
 
 
 def entropy_spans(text, base, pattern, window, limits, allowed):
+    """Every stretch of a run beside the base spans, by the entropy of all windows that no cut-out part touches."""
+    inside = {i for b, e in base for i in range(b, e)}
     out = []
-    for m in re.finditer(pattern, text):
-        found = m[0]
-        if any(b < m.end() and m.start() < e for b, e in base) or any(re.search(a, found) for a in allowed):
-            continue
-        best = 0.0
-        for i in range(len(found) - window + 1):
-            count = Counter(found[i : i + window])
-            best = max(best, math.log2(window) - sum(c * math.log2(c) for c in count.values()) / window)
-        kind = "hex" if re.fullmatch("[0-9a-fA-F]+", found) else "alnum" if re.fullmatch("[A-Za-z0-9]+", found) else "base64"
-        if best * 1e6 >= limits[kind]:
-            out.append((m.start(), 3, m.end(), "entropy"))
+    for run in re.finditer(pattern, text):
+        for _, group in groupby(range(run.start(), run.end()), lambda i: i in inside):
+            places = list(group)
+            found = text[places[0] : places[-1] + 1]
+            if places[0] in inside or len(found) < window or any(re.search(a, found) for a in allowed if a[0] == "^"):
+                continue
+            hidden = set()
+            for token in re.finditer("[A-Za-z0-9]+", found):
+                if re.search(allowed[3], token[0]):
+                    hidden |= set(range(*token.span()))
+            for same in re.finditer(r"(.)\1{5,}", found):
+                hidden |= set(range(*same.span()))
+            best = -1.0
+            for i in range(len(found) - window + 1):
+                if not any(j in hidden for j in range(i, i + window)):
+                    count = Counter(found[i : i + window])
+                    best = max(best, math.log2(window) - sum(c * math.log2(c) for c in count.values()) / window)
+            kind = "hex" if re.fullmatch("[0-9a-fA-F]+", found) else "alnum" if re.fullmatch("[A-Za-z0-9]+", found) else "base64"
+            if best * 1e6 >= limits[kind]:
+                out.append((places[0], 3, places[-1] + 1, "entropy"))
     return out
 
 

@@ -152,7 +152,8 @@ def _secrets() -> str:
     parts = [spans(k, r, secrets.LONG.get(k, p), g, n) for r, (k, (p, g, n)) in enumerate(secrets.BASE.items())]
     other = spans("entropy", len(secrets.BASE), secrets.CANDIDATE, 0, 0)
     n = secrets.WINDOW
-    allowed = " OR ".join(f"regexp_matches(found, '{p}')" for p in secrets.ALLOWED if "\\1" not in p)
+    allowed = " OR ".join(f"regexp_matches(found, '{p}')" for p in secrets.ALLOWED if p.startswith("^"))
+    same = "|".join(f"[{c}]{{6,}}" for c in secrets.LETTERS)
     plogp = "[" + ", ".join(map(str, secrets.PLOGP)) + "]"
     import math
 
@@ -163,18 +164,31 @@ WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS MATERIALIZED (
   SELECT doc_id, rank, kind, s, s + length(found) AS e FROM ({" UNION ALL ".join(parts)})
   WHERE length(inn) >= CASE kind WHEN 'assign' THEN 6 WHEN 'access' THEN 20 ELSE 24 END),
-cand AS MATERIALIZED (
-  SELECT doc_id, rank, kind, s, s + length(found) AS e, found FROM ({other}) o
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.s < o.s + length(o.found) AND o.s < b.e)),
+run AS MATERIALIZED (SELECT doc_id, rank, kind, s, s + length(found) AS e, found FROM ({other})),
+touched AS MATERIALIZED (SELECT * FROM run o WHERE EXISTS (SELECT 1 FROM base b WHERE b.doc_id = o.doc_id AND b.s < o.e AND o.s < b.e)),
+beside AS MATERIALIZED (
+  SELECT doc_id, s, i - row_number() OVER (PARTITION BY doc_id, s ORDER BY i) AS island, i
+  FROM (SELECT doc_id, s, unnest(range(s, e)) AS i FROM touched) p
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = p.doc_id AND b.s <= p.i AND p.i < b.e)),
 open AS MATERIALIZED (
-  SELECT * FROM cand WHERE NOT ({allowed})
-    AND NOT list_bool_or(list_transform(range(1, length(found) - 4), lambda i: length(replace(found[i:i + 5], found[i], '')) = 0))),
+  SELECT * FROM (
+    SELECT * FROM run ANTI JOIN touched USING (doc_id, s)
+    UNION ALL
+    SELECT doc_id, rank, kind, lo AS s, hi AS e, found[lo - s + 1:hi - s] AS found
+    FROM (SELECT doc_id, s, min(i) AS lo, max(i) + 1 AS hi FROM beside GROUP BY doc_id, s, island) JOIN touched USING (doc_id, s))
+  WHERE length(found) >= {n} AND NOT ({allowed})),
+part AS MATERIALIZED (
+  SELECT doc_id, s, generate_subscripts(parts, 1) AS j, unnest(parts) AS part
+  FROM (SELECT doc_id, s, list_filter(string_split(array_to_string(list_transform(
+          regexp_extract_all(found, '[A-Za-z0-9]+|[^A-Za-z0-9]+'),
+          lambda x: CASE WHEN regexp_matches(x, '{secrets.ALLOWED[3]}') THEN chr(1) ELSE regexp_replace(x, '{same}', chr(1), 'g') END), ''), chr(1)),
+        lambda x: length(x) >= {n}) AS parts FROM open)),
 best AS MATERIALIZED (
   SELECT doc_id, s, min(x) AS least
-  FROM (SELECT doc_id, s, i, sum({plogp}[c + 1]) AS x
-        FROM (SELECT doc_id, s, i, ch, count(*) AS c
-              FROM (SELECT doc_id, s, i, unnest(string_split(found[i:i + {n - 1}], '')) AS ch
-                    FROM open, unnest(range(1, length(found) - {n - 2})) AS u(i)) GROUP BY ALL) GROUP BY doc_id, s, i)
+  FROM (SELECT doc_id, s, j, i, sum({plogp}[c + 1]) AS x
+        FROM (SELECT doc_id, s, j, i, ch, count(*) AS c
+              FROM (SELECT doc_id, s, j, i, unnest(string_split(part[i:i + {n - 1}], '')) AS ch
+                    FROM part, unnest(range(1, length(part) - {n - 2})) AS u(i)) GROUP BY ALL) GROUP BY doc_id, s, j, i)
   GROUP BY doc_id, s),
 secret AS MATERIALIZED (
   SELECT o.doc_id, rank, kind, o.s, e FROM open o JOIN best b ON o.doc_id = b.doc_id AND o.s = b.s
