@@ -40,20 +40,30 @@ def frames_of(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def advance(rows: pd.DataFrame, last: int | None, ring: np.ndarray, sensors: Sequence[str], windows: Sequence[int]) -> tuple[pd.DataFrame, int | None, np.ndarray]:
     """The rows with their statistics, and the state after them."""
     reach = lookback(windows)
-    rows = rows.sort_values(CYCLE, kind="stable")
-    late = rows[CYCLE].duplicated() | (rows[CYCLE] <= last if last is not None else False)
-    fresh, passed = rows[~late], rows[late]
-    values = np.concatenate([ring, fresh[list(sensors)].to_numpy(dtype=float)])
-    out = fresh[[ENGINE, CYCLE]].assign(late=False)
+    # arrays throughout: a group is small, and each pandas operation costs more than all its numbers
+    engines, cycles = rows[ENGINE].to_numpy(), rows[CYCLE].to_numpy()
+    order = np.argsort(cycles, kind="stable")
+    engines, cycles = engines[order], cycles[order]
+    late = np.zeros(len(cycles), dtype=bool)
+    late[1:] = cycles[1:] == cycles[:-1]
+    if last is not None:
+        late |= cycles <= last
+    fresh = ~late
+    readings = np.stack([rows[s].to_numpy(dtype=float)[order][fresh] for s in sensors], axis=1)
+    values = np.concatenate([ring, readings])
+    n_late = int(late.sum())
+    out = {ENGINE: np.concatenate([engines[fresh], engines[late]]), CYCLE: np.concatenate([cycles[fresh], cycles[late]])}
+    out["late"] = np.repeat([False, True], [len(readings), n_late])
+    nothing = np.full(n_late, np.nan)
     for n in windows:
         mean, spread = frames_of(values, n)
         for kind, cells in (("mean", mean), ("std", spread)):
             for i, s in enumerate(sensors):
-                out[f"{s}_roll{n}_{kind}"] = cells[len(ring) :, i]
-    if len(fresh):
-        last = int(fresh[CYCLE].iloc[-1])
+                out[f"{s}_roll{n}_{kind}"] = np.concatenate([cells[len(ring) :, i], nothing])
+    if len(readings):
+        last = int(cycles[fresh][-1])
     kept = values[len(values) - min(reach, len(values)) :]
-    return pd.concat([out, passed[[ENGINE, CYCLE]].assign(late=True)], ignore_index=True), last, kept
+    return pd.DataFrame(out), last, kept
 
 
 def trailing(readings: DataFrame, sensors: Sequence[str], windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
@@ -64,7 +74,8 @@ def trailing(readings: DataFrame, sensors: Sequence[str], windows: Sequence[int]
 
     def step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, ring = state.get if state.exists else (None, [])
-        rows = pd.concat(list(frames), ignore_index=True)
+        parts = list(frames)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         out, last, kept = advance(rows, last, np.array(ring, dtype=float).reshape(-1, len(sensors)), sensors, windows)
         state.update((last, kept.ravel().tolist()))
         yield out[[ENGINE, CYCLE, "late", *names]]
