@@ -9,7 +9,9 @@ window per partition is left over. Leftovers carry their ids and are merged in r
 FAN partitions; the very last window is cut at powers of two, which need no padding.
 
 Tokens are looked up per word: the tokenizer never joins characters over white space, so a
-text's ids are those of its words one after the other. A worker keeps a bounded cache.
+text's ids are those of its words one after the other. Only the distinct words of a block of
+texts become Python strings. A worker keeps a bounded cache; words that it lacks are cut into
+Latin letters and what follows, and all new letters are encoded in one call.
 
 Defined cases: a null or empty text is one end token; a null doc_id is kept; repeated rows
 are packed each; an empty table gives no rows; other columns are ignored. A document's ids
@@ -19,12 +21,16 @@ are held in memory at once.
 from __future__ import annotations
 
 import os
+import string
 import sys
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +43,8 @@ FAN = 64
 END_ID = 2
 CACHE_WORDS = 1_000_000
 BLOCK_BYTES = 1 << 20
+#: What may follow letters in a word without changing how the tokenizer cuts them off.
+SYMBOLS = string.punctuation
 
 PIECES = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, offset BIGINT, part BIGINT, ids BINARY"
 SCHEMA = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in (c.split()[0] for c in PIECES.split(", "))])
@@ -47,42 +55,72 @@ class WordEncoder:
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._limit = limit
-        self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {"": b""}
+        self._words: dict[str, bytes] = {}
+        self._letters: dict[str, bytes] = {"": b""}
+        self._rests: dict[str, bytes] = {"": b""}
+        # lower-case letters need neither normalising nor cutting; an id that ends a word tells them apart
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        self._plain = None
+        if suffix:
+            vocabulary = self._tokenizer.get_vocab()
+            self._ending = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ending[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self._plain = Tokenizer.from_file(path)
+            self._plain.normalizer = None
+            self._plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]  # at ASCII white space
-        if len(self._words) > self._limit:
-            self._words.clear()
-        if len(self._parts) > self._limit:
-            self._parts = {"": b""}
+        for cache in (self._words, self._letters, self._rests):
+            if len(cache) > self._limit:
+                cache.clear()
+                cache[""] = b""
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self._words
-        self._learn({w for words in split for w in words if w not in known})
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    def _learn(self, words: set[bytes]) -> None:
-        parted = {w: self._parted(w.decode()) for w in words}
-        parts = self._parts
-        new = list({p for pair in parted.values() for p in pair}.difference(parts))
-        for part, encoding in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            parts[part] = _little_endian(encoding.ids)
-        for word, (base, tail) in parted.items():
-            self._words[word] = parts[base] + parts[tail] if tail else parts[base]
+        self._learn([w for w in distinct if w not in known])
+        ids = np.empty(len(distinct), object)
+        ids[:] = list(map(known.__getitem__, distinct))
+        in_order = ids[coded.indices.to_numpy()]
+        return [b"".join(in_order[a:b].tolist()) for a, b in pairwise(words.offsets.to_pylist())]
+
+    def _learn(self, words: list[str]) -> None:
+        parted = list(map(self._parted, words))
+        letters, rests = self._letters, self._rests
+        new = list({base for base, _ in parted}.difference(letters))
+        letters.update(zip(new, self._letter_ids(new), strict=True))
+        new = list({rest for _, rest in parted}.difference(rests))
+        rests.update(zip(new, self._whole_ids(new), strict=True))
+        self._words.update(zip(words, [letters[base] + rests[rest] for base, rest in parted], strict=True))
+
+    def _whole_ids(self, parts: list[str]) -> list[bytes]:
+        return [_little_endian(e.ids) for e in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _letter_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters, in one call where the vocabulary marks the ends of words."""
+        if self._plain is None or not words:
+            return self._whole_ids(words)
+        ids = self._plain.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids
+        ends = (4 * (np.flatnonzero(self._ending[ids]) + 1)).tolist()
+        if len(ends) != len(words):  # a word ends in a token that the vocabulary lacks
+            return self._whole_ids(words)
+        raw = _little_endian(ids)
+        return [raw[a:b] for a, b in pairwise([0, *ends])]
 
     @staticmethod
     def _parted(word: str) -> tuple[str, str]:
-        """Latin letters and the full stops or commas after them are separate for the tokenizer; other words stay whole."""
-        base = word.rstrip(".,")
+        """Latin letters, lower-cased, and the symbols after them are separate for the tokenizer; other words stay whole."""
+        base = word.rstrip(SYMBOLS)
         if base.isalpha():
             if base.isascii():
                 return base.lower(), word[len(base) :]
             if max(base) < "ɐ" and base.lower().isalpha():
-                return base, word[len(base) :]
-        return word, ""
+                return base.lower(), word[len(base) :]
+        return "", word
 
 
 def _little_endian(ids: list[int]) -> bytes:
