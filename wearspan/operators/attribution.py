@@ -8,9 +8,13 @@ the base value add up to the prediction.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
@@ -108,29 +112,80 @@ def fit_window_linear(windows: DataFrame, size: int, features: Sequence[str], ta
     return _least_squares(vectors, names, 1e-6)
 
 
+MOMENTS = "n BIGINT, missing BIGINT, y DOUBLE, x ARRAY<DOUBLE>, xx ARRAY<DOUBLE>, xy ARRAY<DOUBLE>"
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Count and means of cells and label, with sums of squares (xx) and of products with the label (xy) about the means."""
+
+    n: int
+    y: float
+    x: np.ndarray
+    xx: np.ndarray
+    xy: np.ndarray
+
+    @staticmethod
+    def of(x: np.ndarray, y: np.ndarray) -> Moments:
+        # from the first row, so that a cell that never varies has a spread of exactly nothing
+        off = x - x[0]
+        centre = off.mean(axis=0)
+        off -= centre
+        return Moments(len(x), float(y.mean()), x[0] + centre, np.einsum("ij,ij->j", off, off), (y - y.mean()) @ off)
+
+    def with_more(self, more: Moments) -> Moments:
+        n = self.n + more.n
+        step, rise, share = more.x - self.x, more.y - self.y, more.n / n
+        return Moments(
+            n,
+            self.y + rise * share,
+            self.x + step * share,
+            self.xx + more.xx + step * step * (self.n * share),
+            self.xy + more.xy + step * (rise * self.n * share),
+        )
+
+
+def _window_moments(width: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, missing = None, 0
+        with np.errstate(invalid="ignore", over="ignore"):  # as in Spark, a cell that is no number gives no number
+            for batch in batches:
+                cells, labels = batch.columns
+                missing += cells.null_count + labels.null_count + cells.flatten().null_count
+                if missing or not len(batch):
+                    continue
+                if not pc.all(pc.equal(pc.list_value_length(cells), width)).as_py():
+                    raise ValueError(f"a window doesn't have {width} cells")
+                x = cells.flatten().to_numpy().astype(float).reshape(-1, width)
+                found = Moments.of(x, labels.to_numpy())
+                total = found if total is None else total.with_more(found)
+        if total is not None or missing:
+            t = total or Moments(0, 0.0, *(np.zeros(width),) * 3)
+            row = {"n": t.n, "missing": missing, "y": t.y, "x": t.x.tolist(), "xx": t.xx.tolist(), "xy": t.xy.tolist()}
+            yield pa.RecordBatch.from_pylist([row])
+
+    return run
+
+
 def fit_window_average(windows: DataFrame, size: int, features: Sequence[str], target: str = "target") -> LinearFit:
     """The mean of one simple regression per cell of the flattened windows.
 
     Unlike least squares over all cells it stays stable when neighbouring cells say the same. Windows
-    are summed as vectors, twice: for the mean label, then for means, variances and covariances.
-    A cell that never varies has slope 0.
+    are read once and not kept: a task merges the moments of its batches to one row, and those rows are
+    merged here. A cell that never varies has slope 0; a window without label or with an empty cell is an error.
     """
     names = [f"{t}:{f}" for t in range(size) for f in features]
-    cells = F.flatten(F.col("window")).cast("array<double>")
-    shared = windows.select(cells.alias("_x"), F.col(target).cast("double").alias("_y")).persist()
-    try:
-        n, label = shared.agg(F.count("_y"), F.avg("_y")).first()
-        if not n:
-            raise ValueError("no window to fit on")
-        products = F.transform("_x", lambda x: x * (F.col("_y") - label))
-        cell_sums = Summarizer.metrics("mean", "variance").summary(array_to_vector("_x")).alias("x")
-        found = shared.agg(cell_sums, Summarizer.mean(array_to_vector(products)).alias("xy")).first()
-    finally:
-        shared.unpersist()
-    spread = [float(v) * (n - 1) / n for v in found["x"]["variance"]]
-    slopes = tuple(float(c) / v / len(names) if v > 0 else 0.0 for c, v in zip(found["xy"], spread))
-    means = tuple(float(m) for m in found["x"]["mean"])
-    return LinearFit(tuple(names), slopes, label - sum(c * m for c, m in zip(slopes, means)), means)
+    cells = windows.select(F.flatten("window").alias("_x"), F.col(target).cast("double").alias("_y"))
+    rows = cells.mapInArrow(_window_moments(len(names)), MOMENTS).collect()
+    if any(r["missing"] for r in rows):
+        raise ValueError("a window has no label or an empty cell")
+    if not rows:
+        raise ValueError("no window to fit on")
+    with np.errstate(invalid="ignore", over="ignore"):
+        found = reduce(Moments.with_more, (Moments(r["n"], r["y"], *(np.array(r[c]) for c in ("x", "xx", "xy"))) for r in rows))
+    slopes = tuple(float(c / v) / len(names) if v > 0 else 0.0 for c, v in zip(found.xy, found.xx))
+    means = tuple(map(float, found.x))
+    return LinearFit(tuple(names), slopes, found.y - sum(c * m for c, m in zip(slopes, means)), means)
 
 
 def score_windows(windows: DataFrame, fit: LinearFit) -> DataFrame:
