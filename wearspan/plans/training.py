@@ -7,13 +7,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wearspan.operators.forest import HistogramBoosting, HistogramForest, HistogramTrees, to_blocks
 from wearspan.operators.labels import label_test, label_train, require_final_rul
 from wearspan.operators.metrics import metrics_dict
 from wearspan.operators.rolling import lookback
@@ -36,6 +37,8 @@ from wearspan.sources.telemetry import PanelTriple, load_subset
 
 # MLlib grows trees at most this deep; it stands for "no limit".
 DEEPEST_TREE = 30
+# Depth above which a forest may have more nodes than the driver holds several times.
+DEEP_TREE = 15
 # Fits of a search that run at the same time.
 PARALLEL_FITS = 3
 
@@ -118,7 +121,7 @@ BOOSTED_GRID = {"n_estimators": [300, 600], "max_depth": [3, 4], "learning_rate"
 
 def random_forest(params: dict[str, Any]) -> Estimator:
     depth = params.get("max_depth")
-    return RandomForestRegressor(
+    regressor = RandomForestRegressor(
         featuresCol="features",
         labelCol=RUL,
         numTrees=params["n_estimators"],
@@ -128,6 +131,7 @@ def random_forest(params: dict[str, Any]) -> Estimator:
         bootstrap=params.get("bootstrap", True),
         seed=params["seed"],
     )
+    return HistogramForest(regressor)
 
 
 def boosted_trees(params: dict[str, Any]) -> Estimator:
@@ -135,7 +139,7 @@ def boosted_trees(params: dict[str, Any]) -> Estimator:
     early = {}
     if params.get("validation_column"):
         early = {"validationIndicatorCol": params["validation_column"], "validationTol": params.get("tolerance", 0.01)}
-    return GBTRegressor(
+    regressor = GBTRegressor(
         featuresCol="features",
         labelCol=RUL,
         maxIter=params["n_estimators"],
@@ -146,6 +150,7 @@ def boosted_trees(params: dict[str, Any]) -> Estimator:
         seed=params["seed"],
         **early,
     )
+    return regressor if early else HistogramBoosting(regressor)
 
 
 def linear(params: dict[str, Any]) -> Estimator:
@@ -160,13 +165,16 @@ FAMILIES: dict[str, tuple[Callable[[dict[str, Any]], Estimator], dict[str, Any],
 
 @dataclass(frozen=True)
 class Assembled:
-    """A feature frame as vectors, computed once and shared by all fits on it; use as a context."""
+    """A feature frame as vectors, computed once and shared by all fits on it; use as a context.
+
+    The vectors are several times the input, so they go to the executors' disks and not into their memory.
+    """
 
     assembler: VectorAssembler
     rows: DataFrame
 
     def __enter__(self) -> Assembled:
-        self.rows.persist()
+        self.rows.persist(StorageLevel.DISK_ONLY)
         return self
 
     def __exit__(self, *_: object) -> None:
@@ -193,15 +201,26 @@ def fit_model(estimator: Estimator, train: DataFrame, features: Sequence[str]) -
 def evaluate_candidates(
     factory: Callable[[dict[str, Any]], Estimator], data: Assembled, candidates: Sequence[dict[str, Any]]
 ) -> list[dict[str, Any]]:
-    """One row per candidate: its hold-out metrics. A few fits run side by side."""
+    """One row per candidate: its hold-out metrics. A few fits run side by side; trees share their binned rows.
+
+    Forests without a depth limit have millions of nodes, so only one is grown at a time.
+    """
     fit_rows, valid_rows = data.rows.where(~F.col("is_validation")), data.rows.where("is_validation")
+    estimators = [factory(c) for c in candidates]
+    deep = any(isinstance(e, HistogramForest) and e.regressor.getMaxDepth() > DEEP_TREE for e in estimators)
+
+    def evaluate(scored: Callable[[Estimator], DataFrame]) -> list[dict[str, Any]]:
+        def one(place: int) -> dict[str, Any]:
+            return {"ordinal": place, "params": candidates[place], "metrics": metrics_dict(scored(estimators[place]))}
 
-    def evaluate(place: int) -> dict[str, Any]:
-        scored = factory(candidates[place]).fit(fit_rows).transform(valid_rows)
-        return {"ordinal": place, "params": candidates[place], "metrics": metrics_dict(scored)}
+        with ThreadPoolExecutor(1 if deep else PARALLEL_FITS) as pool:
+            return list(pool.map(inheritable_thread_target(data.rows.sparkSession)(one), range(len(candidates))))
 
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        return list(pool.map(inheritable_thread_target(data.rows.sparkSession)(evaluate), range(len(candidates))))
+    if not all(isinstance(e, HistogramTrees) and e.takes(fit_rows) for e in estimators):
+        return evaluate(lambda estimator: estimator.fit(fit_rows).transform(valid_rows))
+    with estimators[0].bin(fit_rows) as binned:
+        valid = to_blocks(valid_rows, binned.cuts, RUL)
+        return evaluate(lambda estimator: estimator.grow(binned).score(valid, RUL))
 
 
 def winner(log: Sequence[dict[str, Any]]) -> dict[str, Any]:
