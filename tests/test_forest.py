@@ -1,5 +1,7 @@
 """Forests and boosted trees grown on binned rows, against plain searches for the best split."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -8,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wearspan.operators import forest as fo
 from wearspan.plans import training as tr
+from wearspan.queries import modelling
+from wearspan.queries.common import SplitPanels
 
 NAMES = ["a", "b", "c", "d"]
 PLAIN = {"n_estimators": 1, "max_depth": 4, "min_samples_leaf": 3, "max_features": "all", "bootstrap": False, "seed": 7}
@@ -123,3 +127,29 @@ def test_fits_keep_their_rows_out_of_memory(spark, vectors, monkeypatch):
         kept.append(data.rows.storageLevel)
         data.fit(tr.random_forest(PLAIN))
     assert len(kept) == 2 and all(level.useDisk and not level.useMemory for level in kept)
+
+
+def test_training_runs_over_the_whole_grid(spark, monkeypatch):
+    """The registered query passes no parameters that shrink the grids, the forests or the windows."""
+    seen = []
+
+    def prepared(raw, *a, **b):
+        seen.append((a, b))
+        return "data"
+
+    class Listed(Exception):
+        pass
+
+    def trained(dataset, data, catalog, results_path=None, tune=True, params=None):
+        seen.append((data, tune, params))
+        raise Listed
+
+    panel = spark.createDataFrame([(1, 1, 5)], "engine_id int, cycle int, rul int")
+    monkeypatch.setattr(modelling, "split_panels", lambda *a: SplitPanels(panel, panel, None, None))
+    monkeypatch.setattr(modelling, "supplier_final_rul", lambda *a: panel.select("engine_id"))
+    monkeypatch.setattr(modelling, "prepare_training_data", prepared)
+    monkeypatch.setattr(modelling, "train_all", trained)
+    with pytest.raises(Listed):
+        modelling.train_and_register(spark, "no folder is read")
+    assert seen == [((), {}), ("data", True, None)]
+    assert inspect.signature(tr.train_all).parameters["tune"].default is True
